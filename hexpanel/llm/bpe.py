@@ -15,19 +15,19 @@ import base64
 import hashlib
 import heapq
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 LETTER, NUMBER, OTHER, APOSTROPHE1, APOSTROPHE2, SPACE, WHITE, END = range(8)
 BEGIN, IN_LETTERS, IN_NUMBERS, IN_OTHERS, AFTER_SPACE, AFTER_WHITE, ONE_MORE, TWO_MORE = range(8)
 BLOCK = 256
-WINDOW = 1 << 20
+WINDOW = 1 << 18
 SHORT = 48  # bytes of a piece up to which pieces merge together, and are cached
 NONE = np.iinfo(np.int32).max
 
@@ -122,7 +122,7 @@ def boundaries(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
 class Codec:
     """Encoder and decoder of one set of merge ranks."""
 
-    def __init__(self, ranks: dict[bytes, int], cache: int = 1 << 18):
+    def __init__(self, ranks: dict[bytes, int], cache: int = 1 << 16):
         self.ranks, self.cache, self.most = ranks, {}, cache
         size = max(ranks.values()) + 1
         self.words = [b""] * size
@@ -353,32 +353,47 @@ def _share(df: DataFrame, ranks_path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
+ROWS = 128  # rows a step: ids of one step, not of an Arrow batch, are held at a time
+
+
+def _add(df: DataFrame, into: str, kind: str, arrow: pa.DataType, fill: Callable[[pa.RecordBatch], pa.Array]) -> DataFrame:
+    """df with a column made from each few rows; a column of that name is replaced."""
+    rest = df.drop(into) if into in df.columns else df
+    names = rest.columns
+    schema = StructType([*rest.schema.fields, StructField(into, _parse_datatype_string(kind))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(names))), fill(part).cast(arrow)], [*names, into])
+
+    return rest.mapInArrow(run, schema)
+
+
 def encode(df: DataFrame, ranks_path: str, text: str = "text", into: str = "encoded") -> DataFrame:
-    """Adds a struct column `into`: ids array<int> and ends array<bigint>, the byte offset in the UTF-8 text at which
-    each token ends. Null and empty texts have empty arrays. A column of that name is replaced; rows keep their order
-    and number."""
+    """Adds a struct column `into`: ids array<int> and ends array<int>, the byte offset in the UTF-8 text at which each
+    token ends. Null and empty texts have empty arrays. The text column must not be called like `into`; another column
+    of that name is replaced. Rows keep their number."""
     shared = _share(df, ranks_path)
+    at_text = [c for c in df.columns if c != into].index(text)
 
-    @F.arrow_udf("struct<ids:array<int>,ends:array<bigint>>")
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = _codec(shared.value)
-        for batch in batches:
-            ids, n, ends = codec.encode([t or "" for t in batch.to_pylist()])
-            at = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
-            yield pa.StructArray.from_arrays([pa.ListArray.from_arrays(at, pa.array(ids, pa.int32())), pa.ListArray.from_arrays(at, pa.array(ends, pa.int64()))], ["ids", "ends"])
+    def fill(rows: pa.RecordBatch) -> pa.Array:
+        ids, n, ends = _codec(shared.value).encode([t or "" for t in rows.column(at_text).to_pylist()])
+        at = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(at, pa.array(ids, pa.int32())), pa.ListArray.from_arrays(at, pa.array(ends.astype(np.int32)))], ["ids", "ends"])
 
-    return df.withColumn(into, run(df[text].cast("string")))
+    return _add(df, into, "struct<ids:array<int>,ends:array<int>>", pa.struct([("ids", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))]), fill)
 
 
-def decode(df: DataFrame, ranks_path: str, ids: str | Column = "ids", into: str = "decoded") -> DataFrame:
+def decode(df: DataFrame, ranks_path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """Adds a binary column `into`, the bytes of the tokens; null ids decode to no bytes. Unknown ids fail the job."""
     shared = _share(df, ranks_path)
+    at_ids = [c for c in df.columns if c != into].index(ids)
 
-    @F.arrow_udf("binary")
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = _codec(shared.value)
-        for batch in batches:
-            flat, at = batch.flatten().to_numpy(zero_copy_only=False).tolist(), np.cumsum([0, *batch.value_lengths().fill_null(0).to_pylist()]).tolist()
-            yield pa.array([codec.decode(flat[a:b]) for a, b in zip(at, at[1:], strict=False)], pa.binary())
+    def fill(rows: pa.RecordBatch) -> pa.Array:
+        codec, lists = _codec(shared.value), rows.column(at_ids)
+        flat, at = lists.flatten().to_numpy(zero_copy_only=False).tolist(), np.cumsum([0, *lists.value_lengths().fill_null(0).to_pylist()]).tolist()
+        return pa.array([codec.decode(flat[a:b]) for a, b in zip(at, at[1:], strict=False)], pa.binary())
 
-    return df.withColumn(into, run(F.col(ids) if isinstance(ids, str) else ids))
+    return _add(df, into, "binary", pa.binary(), fill)
