@@ -55,6 +55,10 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
 
+def _field(name: str):
+    return lambda x: x[name]
+
+
 def ring_signed_area(ring: Column) -> Column:
     return _sum(_edges(ring, lambda a, b: a["x"] * b["y"] - b["x"] * a["y"])) / 2
 
@@ -83,7 +87,7 @@ def points(g: Column) -> Column:
 
 
 def bounds(g: Column) -> Column:
-    xs, ys = (F.transform(points(g), lambda p, c=c: p[c]) for c in "xy")
+    xs, ys = (F.transform(points(g), _field(c)) for c in "xy")
     return F.struct(F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"))
 
 
@@ -93,12 +97,13 @@ def centroid(g: Column) -> Column:
     def moments(ring: Column) -> Column:
         a = ring_signed_area(ring)
         cross = lambda p, q: p["x"] * q["y"] - q["x"] * p["y"]
-        mx, my = (_sum(_edges(ring, lambda p, q, c=c: (p[c] + q[c]) * cross(p, q))) / 6 for c in "xy")
+        moment = lambda c: _sum(_edges(ring, lambda p, q: (p[c] + q[c]) * cross(p, q))) / 6
+        mx, my = moment("x"), moment("y")
         s = F.signum(a)
         return F.struct((a * s).alias("a"), (mx * s).alias("x"), (my * s).alias("y"))
 
     signed = F.flatten(F.transform(g, lambda p: F.concat(F.array(moments(p["exterior"])), F.transform(p["holes"], lambda h: F.struct(*((-moments(h)[c]).alias(c) for c in "axy"))))))
-    total = [_sum(F.transform(signed, lambda m, c=c: m[c])) for c in "axy"]
+    total = [_sum(F.transform(signed, _field(c))) for c in "axy"]
     return F.struct(F.try_divide(total[1], total[0]).alias("x"), F.try_divide(total[2], total[0]).alias("y"))
 
 
@@ -187,8 +192,7 @@ def clipped_area(parts, window: np.ndarray) -> float:
 SHAPE = "struct<hull_area:double,hull_length:double,major:double,minor:double,angle:double>"
 
 
-@F.arrow_udf(SHAPE)
-def hull_measures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def _hull_measures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Area and length of the convex hull, sides and direction of the smallest rectangle around it."""
     names = ["hull_area", "hull_length", "major", "minor", "angle"]
     for batch in batches:
@@ -204,13 +208,20 @@ def hull_measures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array(rows, pa.struct([(n, pa.float64()) for n in names]))
 
 
-@F.arrow_udf("double")
-def overlap_area(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+def _overlap_area(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     """Area of a geometry inside a convex counter-clockwise ring (array of points)."""
     for geometry, ring in batches:
         yield pa.array([clipped_area(rings_of(g), np.array([(p["x"], p["y"]) for p in r], float)) if g and r else None for g, r in zip(geometry.to_pylist(), ring.to_pylist(), strict=True)], pa.float64())
 
 
+def hull_measures(g: Column) -> Column:
+    return F.arrow_udf(_hull_measures, SHAPE)(g)
+
+
+def overlap_area(g: Column, ring: Column) -> Column:
+    return F.arrow_udf(_overlap_area, "double")(g, ring)
+
+
 # ---- predicates between polygons
 
 
@@ -349,14 +360,17 @@ _POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
 ARROW = pa.list_(pa.struct([("exterior", pa.list_(_POINT)), ("holes", pa.list_(pa.list_(_POINT)))]))
 
 
-@F.arrow_udf(GEOMETRY)
-def parse_wkb(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def _parse_wkb(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Repaired geometry of (E)WKB in binary or hexadecimal; null where it can't be read."""
     for batch in batches:
         found = [from_wkb(v) if v is not None else None for v in batch.to_pylist()]
         yield pa.array([to_rows(repair(f[0])) if f else None for f in found], ARROW)
 
 
+def parse_wkb(c: Column) -> Column:
+    return F.arrow_udf(_parse_wkb, GEOMETRY)(c)
+
+
 def write_wkb(srid: int | None = None):
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -41,7 +41,11 @@ def inertia(g: Column) -> dict[str, Column]:
     of boundary points tends to, without the sampling."""
     sides = F.flatten(F.transform(g, lambda p: G._edges(p["exterior"], lambda a, b: F.struct(a.alias("a"), b.alias("b"), F.hypot(b["x"] - a["x"], b["y"] - a["y"]).alias("l")))))
     total = G._sum(F.transform(sides, lambda s: s["l"]))
-    mean = {c: F.try_divide(G._sum(F.transform(sides, lambda s, c=c: s["l"] * (s["a"][c] + s["b"][c]) / 2)), total) for c in "xy"}
+
+    def first(c: str) -> Column:
+        return F.try_divide(G._sum(F.transform(sides, lambda s: s["l"] * (s["a"][c] + s["b"][c]) / 2)), total)
+
+    mean = {c: first(c) for c in "xy"}
 
     def second(c: str, d: str) -> Column:
         product = lambda s: s["l"] * (2 * s["a"][c] * s["a"][d] + s["a"][c] * s["b"][d] + s["b"][c] * s["a"][d] + 2 * s["b"][c] * s["b"][d]) / 6
