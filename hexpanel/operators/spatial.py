@@ -59,7 +59,7 @@ class HexGrid:
         return F.when(low <= high, F.flatten(F.transform(F.sequence(low, high), row))).otherwise(F.array().cast("array<string>"))
 
     def polyfill(self, df: DataFrame, geometry: str = "geometry") -> DataFrame:
-        """hex_id of the cells whose centre is inside any of the polygons."""
+        """hex_id of the cells whose centre is inside any of the polygons; a centre on a border that two share is in one."""
         cells = df.select(geometry, F.explode(self.candidates(G.bounds(F.col(geometry)), 0.0)).alias("hex_id"))
         x, y = self.center(*self.axial(F.col("hex_id")))
         return cells.where(G.contains_point(F.col(geometry), x, y)).select("hex_id").distinct()

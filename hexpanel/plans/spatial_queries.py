@@ -71,7 +71,7 @@ def overlay_boxes_grid(spark, sf):
 
 
 @register("polyfill_boxes", f"""WITH {BOXES}, cells AS (SELECT q, r, {SIDE} * sqrt(3) * (q + r / 2.0::DOUBLE) AS x, {SIDE} * 1.5::DOUBLE * r AS y FROM range(-1200, 120) a(q), range(-2, 1200) b(r))
-SELECT DISTINCT q || '_' || r AS hex_id FROM boxes JOIN cells ON x > x0 AND x < x1 AND y > y0 AND y < y1""")
+SELECT DISTINCT q || '_' || r AS hex_id FROM boxes JOIN cells ON x >= x0 AND x < x1 AND y >= y0 AND y < y1""")
 def polyfill_boxes(spark, sf):
     return spatial.HexGrid(SIDE).polyfill(boxes(spark, sf))
 
