@@ -17,7 +17,7 @@ CLASSES = ["A", "N", "R", "X"]  # X is in no row: its share is 0
 
 FRAG = """frag AS (SELECT l_suppkey AS hex_id, CAST(year(l_shipdate) AS BIGINT) AS year, l_quantity AS area, l_extendedprice AS x,
   CASE WHEN l_linenumber = 3 THEN NULL WHEN l_linenumber = 2 THEN 0.0 ELSE l_discount END AS z, l_partkey AS parcel, l_returnflag AS class,
-  10000.0 + l_suppkey % 7 AS hex_area, p_brand AS brand
+  CAST(10000 + l_suppkey % 7 AS DOUBLE) AS hex_area, p_brand AS brand
   FROM lineitem LEFT JOIN part ON p_partkey = l_partkey)"""
 
 

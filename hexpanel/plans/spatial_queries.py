@@ -36,7 +36,7 @@ def _six(df, *keys):
 @register("shape_rect", """WITH r AS (SELECT p_partkey AS iddzialki, CAST(p_size AS DOUBLE) AS w, p_retailprice / 100 AS h FROM part)
 , m AS (SELECT *, w * h AS a, w + h + w + h AS p, greatest(w, h) AS hi, least(w, h) AS lo, sqrt(w * w + h * h) / 2 AS r FROM r)
 SELECT iddzialki, round_even(a / 1e4, 4) AS area_ha, round_even(p, 1) AS perimeter_m, round(ln(a), 6) AS log_area, round(ln(p), 6) AS log_perimeter, round(2 * a / p, 6) AS mean_width,
- round(hi / lo, 6) AS elongation_mrr, CASE WHEN w >= h THEN 0.0 ELSE 90.0 END AS orientation_deg, round(w / h, 6) AS aspect_ratio_bbox, round(4 * pi() * a / (p * p), 6) AS ipq, 1.0::DOUBLE AS rectangularity, 1.0::DOUBLE AS solidity,
+ round(hi / lo, 6) AS elongation_mrr, CAST(CASE WHEN w >= h THEN 0 ELSE 90 END AS DOUBLE) AS orientation_deg, round(w / h, 6) AS aspect_ratio_bbox, round(4 * pi() * a / (p * p), 6) AS ipq, 1.0::DOUBLE AS rectangularity, 1.0::DOUBLE AS solidity,
  round(p / (2 * sqrt(pi() * a)), 6) AS complexity_index, round(5 / p, 6) AS vertex_density, round(r, 6) AS min_circle_radius, round(a / (pi() * r * r), 6) AS area_to_circle_ratio, round(pi() * r * r - a, 4) AS circle_area_excess FROM m""")
 def shape_rect(spark, sf):
     df = table(spark, sf, "part").select(F.col("p_partkey").alias("iddzialki"), _box("0D", "0D", "double(p_size)", "p_retailprice / 100").alias("geometry"))
