@@ -2,7 +2,8 @@
 
 Linear models predict the categories one after another; each later model also sees the earlier categories'
 probabilities, in training those that models fitted without the document (out of fold) give it. Features are words and
-their beginnings, chosen by how much more often toxic documents have them, each a yes or no for the whole text.
+their beginnings, chosen by how much more often toxic documents have them, each a yes or no for the whole text, and
+another whether the text has it more than once.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 WORD = re.compile(r"[^\W\d_]+")
 #: Parameters: documents of the training sample by label, features, beginnings, folds,
 #: penalty, and how many missed toxic documents a clean one that is rejected weighs when the threshold is set.
-TOXIC_ROWS, CLEAN_ROWS, FEATURES, STEMS, FOLDS, PENALTY, CLEAN_COST = 1500, 3500, 500, (3, 4, 5, 6), 4, 0.02, 4.0
+TOXIC_ROWS, CLEAN_ROWS, FEATURES, STEMS, FOLDS, PENALTY, CLEAN_COST = 1500, 3500, 1000, (3, 4, 5, 6), 4, 0.02, 4.0
 #: The categories in the order of the chain: a toxic word at all, toxic words again and again, the label itself.
 CATEGORIES = ("lexical", "severe", "toxic")
 
@@ -34,6 +35,20 @@ def words(text: str) -> Counter:
     return Counter(WORD.findall(text.lower()))
 
 
+def twice(piece: str) -> str:
+    """The feature of texts that have a piece more than once."""
+    return piece + "+"
+
+
+def pieces_of(counted: Counter, of: dict[str, list[str]]) -> set[str]:
+    """Features of a text: its words' pieces, and those it has twice or more."""
+    n = Counter()
+    for w, k in counted.items():
+        for p in of[w]:
+            n[p] += k
+    return {*n, *(twice(p) for p, k in n.items() if k > 1)}
+
+
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = 200) -> np.ndarray:
     """Weights of a penalised logistic regression by accelerated gradient steps, classes weighing alike; the last is the bias."""
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
@@ -73,7 +88,7 @@ def train(texts: list[str], toxic: list[int]) -> Chain:
     y = np.asarray(toxic, np.float64)
     counted = [words(t) for t in texts]
     of = {w: pieces(w) for c in counted for w in c}
-    sets = [{p for w in c for p in of[w]} for c in counted]
+    sets = [pieces_of(c, of) for c in counted]
     with_, without = Counter(), Counter()
     for s, t in zip(sets, toxic, strict=True):
         (with_ if t else without).update(s)
@@ -112,17 +127,18 @@ class Scorer:
         self.chain, self.most, self.cache = chain, most, {}
 
     def features(self, text: str) -> list[int]:
-        found: set[int] = set()
+        n: dict[str, int] = {}
         vocabulary, cache = self.chain.vocabulary, self.cache
-        for w in set(WORD.findall(text.lower())):
+        for w, k in words(text).items():
             at = cache.get(w)
             if at is None:
-                at = tuple(vocabulary[p] for p in pieces(w) if p in vocabulary)
+                at = tuple(p for p in pieces(w) if p in vocabulary or twice(p) in vocabulary)
                 if len(cache) >= self.most:
                     cache.clear()
                 cache[w] = at
-            found.update(at)
-        return list(found)
+            for p in at:
+                n[p] = n.get(p, 0) + k
+        return [vocabulary[f] for p, k in n.items() for f in ((p, twice(p)) if k > 1 else (p,)) if f in vocabulary]
 
     def score(self, texts: list[str]) -> np.ndarray:
         n, out = len(self.chain.vocabulary), []
