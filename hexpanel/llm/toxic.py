@@ -40,15 +40,6 @@ def twice(piece: str) -> str:
     return piece + "+"
 
 
-def pieces_of(counted: Counter, of: dict[str, list[str]]) -> set[str]:
-    """Features of a text: its words' pieces, and those it has twice or more."""
-    n = Counter()
-    for w, k in counted.items():
-        for p in of[w]:
-            n[p] += k
-    return {*n, *(twice(p) for p, k in n.items() if k > 1)}
-
-
 def logistic(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = 200) -> np.ndarray:
     """Weights of a penalised logistic regression by accelerated gradient steps, classes weighing alike; the last is the bias."""
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
@@ -86,33 +77,57 @@ def train(texts: list[str], toxic: list[int]) -> Chain:
     """Fits the chain. lexical: toxic, with a word that at least three toxic and no clean document of the sample has, or
     a beginning like that; severe: lexical with three or more such words; toxic: the label."""
     y = np.asarray(toxic, np.float64)
-    counted = [words(t) for t in texts]
-    of = {w: pieces(w) for c in counted for w in c}
-    sets = [pieces_of(c, of) for c in counted]
-    with_, without = Counter(), Counter()
-    for s, t in zip(sets, toxic, strict=True):
-        (with_ if t else without).update(s)
+    # words and pieces are numbers here: the driver holds two small arrays a document; feature 2 p is piece p, 2 p + 1 twice it
+    number: dict[str, int] = {}
+    names: list[str] = []
+    piece: dict[str, int] = {}
+    own: list[tuple[int, ...]] = []
+    bags, found = [], []
+    for t in texts:
+        counted = words(t)
+        n: dict[int, int] = {}
+        for w, k in counted.items():
+            if w not in number:
+                number[w] = len(own)
+                for p in pieces(w):
+                    if p not in piece:
+                        piece[p] = len(names)
+                        names.append(p)
+                own.append(tuple(piece[p] for p in pieces(w)))
+            for p in own[number[w]]:
+                n[p] = n.get(p, 0) + k
+        bags.append((np.array([number[w] for w in counted], np.int32), np.array(list(counted.values()), np.int32)))
+        found.append(np.array([*(2 * p for p in n), *(2 * p + 1 for p, k in n.items() if k > 1)], np.int32))
+    none = np.empty(0, np.int32)
+    with_, without = (np.bincount(np.concatenate([none, *(f for f, t in zip(found, toxic, strict=True) if bool(t) == side)]), minlength=2 * len(names)) for side in (True, False))
     n, m = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    gain = {p: k / n * (math.log((k + 0.5) / n) - math.log((without[p] + 0.5) / m)) for p, k in with_.items() if k >= 3}
-    gain |= {p: k / m * (math.log((k + 0.5) / m) - math.log((with_[p] + 0.5) / n)) / 20 for p, k in without.items() if k >= 3 and p not in gain}
-    chosen = sorted(gain, key=lambda p: (-gain[p], p))[:FEATURES]
-    vocabulary = {p: i for i, p in enumerate(chosen)}
+    name = lambda f: twice(names[f // 2]) if f % 2 else names[f // 2]
+    gain = {}
+    for f in np.flatnonzero((with_ >= 3) | (without >= 3)).tolist():
+        k, j = int(with_[f]), int(without[f])
+        told = math.log((k + 0.5) / n) - math.log((j + 0.5) / m)
+        gain[f] = k / n * told if k >= 3 else j / m * -told / 20
+    chosen = sorted(gain, key=lambda f: (-gain[f], name(f)))[:FEATURES]
+    vocabulary = {name(f): i for i, f in enumerate(chosen)}
+    column = np.full(2 * len(names), -1)
+    column[chosen] = np.arange(len(chosen))
     x = np.zeros((len(texts), len(chosen)), np.float32)
-    for i, s in enumerate(sets):
-        x[i, [vocabulary[p] for p in s if p in vocabulary]] = 1
-    terms = {p for p in with_ if with_[p] >= 3 and not without[p]}
-    toxic_words = {w for w, own in of.items() if not terms.isdisjoint(own)}
-    mentions = np.array([sum(k for w, k in c.items() if w in toxic_words) for c in counted])
+    for i, f in enumerate(found):
+        at = column[f]
+        x[i, at[at >= 0]] = 1
+    term = ((with_ >= 3) & (without == 0))[::2]
+    toxic_word = np.array([any(term[p] for p in ps) for ps in own], bool)
+    mentions = np.array([int(k[toxic_word[w]].sum()) if len(w) else 0 for w, k in bags])
     labels = [y * (mentions > 0), y * (mentions >= 3), y]
     fold = np.arange(len(y)) % FOLDS
     extra, weights = np.empty((len(y), 0), np.float32), []
     for label in labels:
-        own = np.hstack([x, extra])
-        weights.append(logistic(own, label))
+        seen = np.hstack([x, extra])
+        weights.append(logistic(seen, label))
         outside = np.empty(len(y))
         for k in range(FOLDS):
-            w = logistic(own[fold != k], label[fold != k])
-            outside[fold == k] = 1 / (1 + np.exp(-np.clip(own[fold == k] @ w[:-1] + w[-1], -30, 30)))
+            w = logistic(seen[fold != k], label[fold != k])
+            outside[fold == k] = 1 / (1 + np.exp(-np.clip(seen[fold == k] @ w[:-1] + w[-1], -30, 30)))
         extra = np.hstack([extra, outside[:, None].astype(np.float32)])
     steps = np.linspace(0.05, 0.95, 91)
     cost = np.array([(outside[y > 0] < t).sum() + CLEAN_COST * (outside[y == 0] >= t).sum() for t in steps])
