@@ -204,8 +204,9 @@ def leaves(classes: DataFrame, percent: int, trees: int, depth: int, leaf: int)
     done = None
     for at in range(1, depth + 1):
         level = cut(level, "paths")
-        sized = level.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        sized = cut(level.join(sized, "node"), "nodes")
+        # written, so that adaptive execution can split the join at a node that many classes come to
+        sizes = cut(level.groupBy("node").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+        sized = cut(level.join(sizes, "node"), "nodes")
         last = at == depth
         ready = sized if last else sized.where(F.col("size") <= leaf)
         ready = ready.select("node", "rep", F.ceil(F.col("size") / F.lit(leaf)).cast("int").alias("tiles"))
