@@ -8,6 +8,8 @@ rule blocks one, else the default.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,13 +49,69 @@ def address(url: Column) -> Column:
     return F.concat(F.lower(front), F.substr(bare, F.length(front) + 1))
 
 
+def attribute(tag: Column, name: str) -> Column:
+    """Value of a tag's first attribute of that name, without quotes; null where it has none."""
+    said = F.filter(F.regexp_extract_all(tag, F.lit(r"""[^\s"'<>/=]+\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]+)"""), F.lit(0)), lambda x: x.rlike(rf"(?i)^{name}\s*="))
+    return F.regexp_replace(F.regexp_extract(F.get(said, F.lit(0)), r"(?s)^[^=]*=\s*(.*)$", 1), r"""^["']|["']$""", "")
+
+
+def _dotless(path_: Column) -> Column:
+    """A path from the root on, its segments . and .. followed."""
+    up = lambda out: F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0)))
+    step = lambda out, s: F.when(s == "..", up(out)).when(s == ".", out).otherwise(F.concat(out, F.array(s)))
+    ends = F.regexp_replace(F.substr(path_, F.lit(2)), r"(^|/)(\.\.?)$", "$1$2/")
+    followed = F.concat(F.lit("/"), F.array_join(F.aggregate(F.split(ends, "/"), F.lit([]).cast("array<string>"), step), "/"))
+    return F.when(path_.rlike(r"/\.\.?(/|$)"), followed).otherwise(path_)
+
+
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is named once: written out at each use, nested expressions would grow with their product."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def resolve(to: Column, base: Column) -> Column:
+    """The address that a target means on a page of address base. Targets with :// stay as they are; empty for those of
+    other schemes (mailto:), for empty ones, and for relative ones where base has no ://."""
+
+    def read(x: Column) -> Column:
+        to, base = x["to"], x["base"]
+        front = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
+        here = F.regexp_extract(base, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
+        folder = F.regexp_replace(here, r"[^/]*$", "")
+        own = F.regexp_extract(to, r"(?s)^([^?#]*)", 1)
+        whole = F.when(to.startswith("/"), own).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), own))
+        return (
+            F.when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), to)
+            .when((to == "") | (front == "") | to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), "")
+            .when(to.startswith("//"), F.concat(F.regexp_extract(front, r"(?s)^(.*?:)//", 1), to))
+            .when(to.startswith("#"), base)
+            .when(to.startswith("?"), F.concat(front, here, to))
+            .otherwise(F.concat(front, _let(whole, _dotless), F.substr(to, F.length(own) + 1)))
+        )
+
+    return _let(F.struct(to.alias("to"), F.coalesce(base, F.lit("")).alias("base")), read)
+
+
 def links(df: DataFrame, url: str = "url", body: str = "html") -> DataFrame:
-    """Columns a and b: absolute canonical links and refresh redirects that pages declare in their HTML."""
+    """Columns a and b: canonical links and refresh redirects that pages declare in their HTML. Relative targets are
+    resolved against the page's address, or its base element where it has one."""
     page = F.coalesce(df[body].cast("string"), F.lit(""))
-    tags = F.filter(F.regexp_extract_all(page, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0)), lambda t: t.rlike(r"(?i)rel\s*=\s*[\"']?canonical|http-equiv\s*=\s*[\"']?refresh"))
-    said = df.where(page.rlike(r"(?i)canonical|http-equiv")).select(df[url].alias("u"), F.explode(tags).alias("tag"))
-    to = F.regexp_extract("tag", r"""(?is)(?:href\s*=\s*["']?|url\s*=\s*["']?)([^"'\s>]+://[^"'\s>]+)""", 1)
-    return said.select(address(F.col("u")).alias("a"), address(F.regexp_replace(to, "&amp;", "&")).alias("b")).where("a != '' and b != ''")
+    clean = lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), r"[\t\n\r\f]", ""), "&amp;", "&"))
+    found = lambda names: F.regexp_extract_all(page, F.lit(rf"(?is)<(?:{names})\b[^>]*>"), F.lit(0))
+    said = df.where(page.rlike(r"(?i)canonical|http-equiv")).select(F.trim(df[url]).alias("u"), found("link|meta").alias("tags"), found("base").alias("bases"))
+    base = F.get(F.filter(F.transform("bases", lambda t: attribute(t, "href")), lambda x: x.isNotNull()), F.lit(0))
+    # inline keeps each step apart: as columns the optimizer would write them out at each use
+    said = said.select("u", "tags", F.inline(F.array(F.struct(clean(base).alias("base"))))).select("u", "base", F.explode("tags").alias("tag"))
+    tag = F.col("tag")
+    said = said.select("u", "base", F.inline(F.array(F.struct(*(attribute(tag, x).alias(y) for x, y in (("rel", "rel"), ("href", "href"), ("http-equiv", "equiv"), ("content", "content")))))))
+    canonical = F.array_contains(F.split(F.lower(F.coalesce("rel", F.lit(""))), r"\s+"), "canonical")
+    later = F.regexp_extract("content", r"""(?is)^\s*(?:[\d.]+\s*[;,\s]\s*(?:url\s*=\s*)?|url\s*=\s*)(.*)$""", 1)
+    bare = F.regexp_replace(later, r"""(?s)^(["'])(.*?)(?:\1.*)?$""", "$2")
+    target = F.when(canonical, clean(F.col("href"))).when(F.lower(F.trim("equiv")) == "refresh", clean(bare))
+    to = said.select("u", "base", F.inline(F.array(F.struct(target.alias("to"))))).where("to != ''")
+    based = F.when(F.col("base") == "", F.col("u")).otherwise(_let(resolve(F.col("base"), F.col("u")), lambda b: F.when(b == "", F.col("u")).otherwise(b)))
+    out = to.select(address(F.col("u")).alias("a"), F.inline(F.array(F.struct(resolve(F.col("to"), based).alias("b")))))
+    return out.select("a", address(F.col("b")).alias("b")).where("a != '' and b != ''")
 
 
 def judge(df: DataFrame, url: str = "url", body: str | None = "html", redirects: DataFrame | None = None, rules=RULES, default: str = "allow") -> DataFrame:

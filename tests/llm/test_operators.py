@@ -308,6 +308,24 @@ def test_urls(spark):
     assert {x["verdict"] for x in urls.judge(df, body=None).where("page_id in (9, 10, 11)").collect()} == {"allow"}
 
 
+def test_urls_follow_relative_aliases(spark):
+    """Targets of every relative form, in canonical links and in redirects, as RFC 3986 resolves them."""
+    at = "http://Mirror.test/dir/sub/page?q=1#f"
+    forms = {"/b": "http://mirror.test/b", "//host.com/en/b?x": "http://host.com/en/b?x", "b": "http://mirror.test/dir/sub/b", "./b": "http://mirror.test/dir/sub/b", "../b/": "http://mirror.test/dir/b/", "../../../b": "http://mirror.test/b", "..": "http://mirror.test/dir/", "b/.": "http://mirror.test/dir/sub/b/", "/a/./x/../b?u=../c": "http://mirror.test/a/b?u=../c", "/go?to=http://z.org/": "http://mirror.test/go?to=http://z.org/", "?q=2&amp;r=3": "http://mirror.test/dir/sub/page?q=2&r=3", "https://Shop.COM/en/": "https://shop.com/en/", "...": "http://mirror.test/dir/sub/..."}
+    marks = ['<link rel="canonical" href="{}">', "<LINK title='rel=x href=y' href='{}' rel='alternate CANONICAL'/>", "<meta http-equiv=refresh content='0; URL={}'>", '<meta content="5;{}" http-equiv="Refresh">', "<meta http-equiv=\"refresh\" content=\"0;url='{}'\">"]
+    for mark in marks:
+        df = spark.createDataFrame([(at, mark.format(f)) for f in forms], "url string, html string").coalesce(1)
+        assert [x["b"] for x in urls.links(df).collect()] == list(forms.values()), mark
+    none = ["<link rel=canonical>", "<link rel=canonical href=''>", "<link rel=canonical href=mailto:a@b.c>", "<link rel=not-canonical href=/b>", "<link data-rel=canonical href=/b>", "<meta http-equiv=refresh content=5>", "<meta name=canonical content='0;url=/b'>"]
+    assert urls.links(spark.createDataFrame([(at, x) for x in none] + [(None, marks[0].format("/b")), ("no scheme", marks[0].format("/b"))], "url string, html string")).count() == 0
+    base = spark.createDataFrame([("http://a.test/x/y", "<base target=_top><base href='/z/'><link rel=canonical href=b>")], "url string, html string")
+    assert [tuple(x) for x in urls.links(base).collect()] == [("http://a.test/x/y", "http://a.test/z/b")]
+    # the decision passes along such links
+    pages = [(1, "http://mirror.test/a", "<link rel='shortlink canonical' href='/b'>"), (2, "http://mirror.test/b", "<meta http-equiv=refresh content='0;url=//shop.com/en/'>"), (3, "http://mirror.test/c", "")]
+    out = urls.judge(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    assert {x["page_id"]: x["verdict"] for x in out.collect()} == {1: "block", 2: "block", 3: "allow"}
+
+
 # 9: HTML
 
 
