@@ -26,7 +26,8 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # a run that is long enough begins where the leftmost match of any length does
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{20,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{20,}")  # no format of labelled() makes a shorter credential
+PART = re.compile(r"[^/.=]+")  # of a candidate, which may hold a credential among other things
 
 #: Parameters of training and scoring.
 EXAMPLES, ORDINARY, ALPHA, SEED, FLOOR, LEAST_SCORE = 160, 2600, 0.02, 11, 1e-3, 25.0
@@ -107,6 +108,7 @@ class Automaton:
             blue = [(s, k) for s in red for k in sorted(s.to) if id(s.to[k]) not in known]
         at = {id(s): i for i, s in enumerate(red)}
         self.states = len(red)
+        self.shortest = min(map(len, examples), default=0)
         #: A row for each state: symbol -> (log probability, next); the end is the symbol "".
         self.rows = [{k: (math.log(s.taken[k] / s.seen), at[id(n)]) for k, n in s.to.items()} | ({"": (math.log(s.ended / s.seen), -1)} if s.ended else {}) for s in red]
 
@@ -162,9 +164,79 @@ def likeliest(token: str, trained: dict[str, Automaton]) -> tuple[str, float]:
     return max(((k, a.score(symbols) - plain) for k, a in trained.items() if k), key=lambda x: (x[1], x[0]))
 
 
+def embedded(text: str, parts: list[tuple[int, int]], trained: dict[str, Automaton], least: float) -> list[tuple[str, int, int, float]]:
+    """Spans from the start of a part to the end of the same or a later one, apart from each other, none shorter than
+    its format's shortest credential: those of the largest sum of score - least, so that each scores `least` or more.
+
+    What began at different parts and has come to the same pair of states goes on with the better sum only, so the time
+    is in proportion to the length whatever the number of parts.
+    """
+    if not parts:
+        return []
+    lo, hi = parts[0][0], parts[-1][1]
+    formats = [(k, a.rows, a.shortest) for k, a in trained.items() if k and a.shortest <= hi - lo]
+    if not formats:
+        return []
+    plain, low = trained[""].rows, math.log(FLOOR)
+    symbols = [symbol(c) for c in text[lo:hi]]
+    rows = {k: r for k, r, _ in formats}
+    starts, ends = {a - lo: i for i, (a, _) in enumerate(parts)}, {b - lo: i for i, (_, b) in enumerate(parts)}
+    best, last = [0.0] * (len(parts) + 1), [None] * (len(parts) + 1)  # of the first i parts: the sum, and its last span
+    joins: dict[int, list] = {}
+    pool: dict[tuple[str, int, int], tuple[float, int]] = {}
+    for p in range(hi - lo + 1):
+        for state, value in joins.pop(p, ()):
+            if state not in pool or pool[state] < value:
+                pool[state] = value
+        if p in ends:
+            i = ends[p]
+            best[i + 1] = best[i]
+            for (k, f, o), (value, since) in pool.items():
+                value += rows[k][f].get("", (low, -1))[0] - plain[o].get("", (low, -1))[0] - least
+                if value > best[i + 1] or value == best[i + 1] and last[i + 1] is None:
+                    best[i + 1], last[i + 1] = value, (k, since)
+        if p in starts:
+            i = starts[p]
+            for k, r, n in formats:
+                if p + n > hi - lo:
+                    continue
+                value, f, o = best[i], 0, 0
+                for c in symbols[p : p + n]:
+                    (x, f), (y, o) = r[f].get(c, (low, f)), plain[o].get(c, (low, o))
+                    value += x - y
+                joins.setdefault(p + n, []).append(((k, f, o), (value, i)))
+        if p < hi - lo and pool:
+            c, moved = symbols[p], {}
+            for (k, f, o), (value, since) in pool.items():
+                (x, f), (y, o) = rows[k][f].get(c, (low, f)), plain[o].get(c, (low, o))
+                value = (value + x - y, since)
+                if (k, f, o) not in moved or moved[k, f, o] < value:
+                    moved[k, f, o] = value
+            pool = moved
+    found, i = [], len(parts)
+    while i:
+        if last[i] is None:
+            i -= 1
+            continue
+        k, since = last[i]
+        found.append((k, parts[since][0], parts[i - 1][1], best[i] - best[since] + least))
+        i = since
+    return found[::-1]
+
+
+def within(text: str, parts: list[tuple[int, int]], trained: dict[str, Automaton], least: float) -> list[tuple[str, int, int, float]]:
+    """The whole stretch of parts where it is a candidate that scores `least` or more, else what is embedded in it."""
+    if parts and CANDIDATE.fullmatch(text, a := parts[0][0], b := parts[-1][1]):
+        kind, score = likeliest(text[a:b], trained)
+        if score >= least:
+            return [(kind, a, b, score)]
+    return embedded(text, parts, trained, least)
+
+
 def scan(text: str, trained: dict[str, Automaton], least: float = LEAST_SCORE) -> list[tuple[str, int, int, float | None]]:
     """Spans (kind, start, end, score): base spans first found exactly, then candidates that overlap none and score
-    `least` or more, by start, then kind. Positions are code points, ends exclusive."""
+    `least` or more, by start, then kind. Positions are code points, ends exclusive. Where a candidate scores less as a
+    whole, or overlaps base spans, what its other parts hold between / . = is scored as well."""
     base = []
     if any(k in low for low in [text.lower()] for k in KEYWORDS):
         base += [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
@@ -177,16 +249,35 @@ def scan(text: str, trained: dict[str, Automaton], least: float = LEAST_SCORE) -
     found = []
     for k, a, b in base:
         found.append((k, a, b, likeliest(text[a:b] if k != "assign" else ASSIGN.match(text, a)[2], trained)[1]))
-    i, reach = 0, -1
+    named = lambda kind: kind if kind not in BASE else f"{kind}_like"
+    apart: list[list[int]] = []  # the base spans, joined where they overlap
+    for a, b in taken:
+        if apart and a < apart[-1][1]:
+            apart[-1][1] = max(apart[-1][1], b)
+        else:
+            apart.append([a, b])
+    i = 0
     for a, b in tokens:
-        while i < len(taken) and taken[i][0] < b:
-            reach = max(reach, taken[i][1])
+        while i < len(apart) and apart[i][1] <= a:
             i += 1
-        if reach > a:
-            continue
-        kind, score = likeliest(text[a:b], trained)
-        if score >= least:
-            found.append((kind if kind not in BASE else f"{kind}_like", a, b, score))
+        if i == len(apart) or apart[i][0] >= b:
+            kind, score = likeliest(text[a:b], trained)
+            if score >= least:
+                found.append((named(kind), a, b, score))
+                continue
+        stretches: list[list[tuple[int, int]]] = [[]]
+        j = i
+        for m in PART.finditer(text, a, b):
+            between = False
+            while j < len(apart) and apart[j][1] <= m.start():
+                j, between = j + 1, True
+            clear = j == len(apart) or apart[j][0] >= m.end()
+            if between or not clear:
+                stretches.append([])
+            if clear:
+                stretches[-1].append(m.span())
+        for parts in stretches:
+            found += [(named(k), *x) for k, *x in within(text, parts, trained, least)]
     return sorted(found, key=lambda x: (x[1], order.get(x[0], len(order)), x[0]))
 
 
