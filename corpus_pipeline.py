@@ -19,11 +19,20 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of largest doc_id of each text. Rejected rows are found by doc_id and digest, so documents are
-    shuffled again only where the rejected are too many to broadcast; those without a doc_id stay."""
-    gone = exact.find(docs).where("not kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+    """Exactly one document of each text: that of largest doc_id, a null one only where all are null; of rows that repeat both doc_id and
+    text, the least by all columns. Rejected rows are found by doc_id (null-safely) and digest, so documents are
+    shuffled again only where the rejected are too many to broadcast."""
+    found = exact.find(docs).where("group_size > 1").select(F.col("doc_id").alias("_id"), "kept", F.col("text_sha256").alias("_sha"))
+    copies = cut(found.groupBy("_id", "kept", "_sha").agg(F.count("*").alias("n")), "copies")
     sha = exact.sha256(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(gone, (docs["doc_id"] == F.col("_id")) & (sha == F.col("_sha")), "left_anti")
+    among = docs["doc_id"].eqNullSafe(F.col("_id")) & (sha == F.col("_sha"))
+    tied = copies.where("kept and n > 1")
+    if tied.isEmpty():
+        return docs.join(copies.where("not kept"), among, "left_anti")
+    rest = docs.join(copies.where("not kept or n > 1"), among, "left_anti")
+    row = F.struct(*(F.col(c) for c in docs.columns))
+    one = docs.join(tied, among, "left_semi").groupBy("doc_id", exact.sha256(F.coalesce("text", F.lit(""))).alias("_sha")).agg(F.min(row).alias("_row"))
+    return rest.unionByName(one.select("_row.*"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -94,3 +94,11 @@ def test_stages_take_nulls_and_empty_tables(spark, stage):
     assert some.count() > 0 and none.count() == 0
     if stage < 4:
         assert set(schema.names) <= set(some.columns)
+
+
+def test_exact_dedup_keeps_one_row_of_each_text(spark):
+    rows = [(None, "a", "en", "s", 1), (2, "a", "en", "s", 1), (None, "b", "en", "s", 1), (None, "b", "de", "s", 1), (3, "c", "en", "t", 1), (3, "c", "en", "s", 1), (3, "d", "en", "s", 1), (4, "d", "en", "s", 1), (5, None, "en", "s", 0), (5, "", "en", "s", 0), (6, "e", "en", "s", 1), (6, "e", "en", "s", 1), (None, "f", None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    out = sorted((x["text"] or "", x["doc_id"], x["lang"], x["source"]) for x in corpus_pipeline.exact_dedup(spark, df, SF).collect())
+    assert out == [("", 5, "en", "s"), ("a", 2, "en", "s"), ("b", None, "de", "s"), ("c", 3, "en", "s"), ("d", 4, "en", "s"), ("e", 6, "en", "s"), ("f", None, None, None)]
+    assert corpus_pipeline.exact_dedup(spark, df, SF).columns == df.columns
