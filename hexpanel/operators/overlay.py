@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KEYS = ("hex_id", "year")
+MOST_CLASSES = 1000
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -78,10 +79,13 @@ def dominant(fragments: DataFrame, category: str, *, keys: Sequence[str] = KEYS,
 
 def class_shares(fragments: DataFrame, category: str, classes: Sequence[str] | None = None, *, keys: Sequence[str] = KEYS, area: str = "area", hex_area: str = "hex_area", prefix: str = "", decimals: int | None = None) -> DataFrame:
     """<prefix><class>_share: summed area of a class over the cell's area, at most 1. Classes that a cell lacks are 0,
-    those not listed are left out, and a cell with missing classes only has no row. classes None: all, in order."""
+    those not listed are left out, and a cell with missing classes only has no row. classes None: all, in order; more
+    than MOST_CLASSES fail."""
     known = fragments.where(F.col(category).isNotNull())
     if classes is None:
-        classes = [r[0] for r in known.select(category).distinct().orderBy(category).limit(1000).collect()]
+        classes = [r[0] for r in known.select(category).distinct().orderBy(category).limit(MOST_CLASSES + 1).collect()]
+        if len(classes) > MOST_CLASSES:
+            raise ValueError(f"more than {MOST_CLASSES} classes to make columns of")
     share = lambda c: F.least(F.greatest(F.coalesce(_ratio(F.sum(F.when(F.col(category) == c, F.col(area))), F.max(hex_area)), F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
     rounded = (lambda x: F.bround(x, decimals)) if decimals is not None else (lambda x: x)
     return known.groupBy(*keys).agg(*(rounded(share(c)).alias(f"{prefix}{c}_share") for c in classes))

@@ -15,6 +15,8 @@ from hexpanel.functions import geometry as G
 
 MODES = {"replace": "overwrite", "append": "append", "create": "append"}
 
+MOST_LAYERS = 10_000
+
 
 def quote(name: str) -> str:
     """A possibly qualified name with every part in backticks."""
@@ -87,7 +89,9 @@ def merged_layers(df: DataFrame, layer_map: dict[str, list[str]], column: str =
     """Rows under their canonical layer's name: a view over what is there; no file is moved or removed."""
     from hexpanel.sources.discovery import canonical
 
-    names = [r[0] for r in df.select(column).distinct().limit(10_000).collect()]
+    names = [r[0] for r in df.select(column).distinct().limit(MOST_LAYERS + 1).collect()]
+    if len(names) > MOST_LAYERS:
+        raise ValueError(f"more than {MOST_LAYERS} layer names")
     known = {n: c for n in names if n and (c := canonical(n, layer_map))}
     if not known:
         return df.limit(0)

@@ -155,3 +155,14 @@ def test_carry_forward(spark):
     df = spark.createDataFrame([("a", 1, None), ("a", 2, "x"), ("a", 3, None), ("b", 1, None)], "k string, t int, v string")
     out = by(panel.carry_forward(df, "v", by="k", order="t"), "k", "t")
     assert [out[k]["v"] for k in [("a", 1), ("a", 2), ("a", 3), ("b", 1)]] == [None, "x", "x", None]
+
+
+def test_too_many_classes_or_layers_fail(spark):
+    from hexpanel import sinks
+
+    many = spark.range(10_001).selectExpr("1 AS hex_id", "2020 AS year", "1.0D AS area", "1.0D AS hex_area", "concat('c', id) AS c")
+    with pytest.raises(ValueError, match="classes"):
+        overlay.class_shares(many, "c")
+    assert len(overlay.class_shares(many.limit(50), "c").columns) == 52
+    with pytest.raises(ValueError, match="layer"):
+        sinks.merged_layers(many, {"x": ["c"]}, "c")
