@@ -8,8 +8,9 @@ signatures leave possible make candidate clusters; each cluster's whole texts ar
 full sets, following confirmed links breadth first so that links within what is already joined need no confirmation.
 
 Recall: pairs at the threshold share a child with probability 1 or close to it a level (similarity / similarity), at
-least 0.85 by one function; with TREES trees the chance to miss a pair at the threshold is under 1e-6 at depth one and
-under 1e-4 at depth three.
+least 0.85 by one function. With the roots that SEED gives, and functions taken as independent, a pair just at the
+threshold whose nodes all stay large down to a depth is missed with chance under 1e-6 at depth one, under 1e-4 at depth
+three, and at DEPTH, four, 3.0e-4 with 8 trees at 85 % and 1.7e-4 with 10 trees at 80 %.
 """
 
 from __future__ import annotations
