@@ -15,6 +15,11 @@ KEYS = ("hex_id", "year")
 MOST_CLASSES = 1000
 
 
+def half_even(x: Column, decimals: int) -> Column:
+    """x to a number of decimals, ties of the scaled double to the even neighbour: rint(x * 10^n) / 10^n."""
+    return F.rint(x * 10.0**decimals) / 10.0**decimals
+
+
 def _ratio(top: Column, bottom: Column) -> Column:
     return F.try_divide(top, bottom)
 
@@ -68,7 +73,7 @@ def filter_fragments(df: DataFrame, least: float, area: str = "area", hex_area:
 def round_floats(df: DataFrame, decimals: int, keys: Sequence[str] = KEYS) -> DataFrame:
     """Half-even rounding of all floating columns but the keys."""
     floats = [c for c, t in df.dtypes if t in ("double", "float") and c not in keys]
-    return df.withColumns({c: F.bround(c, decimals) for c in floats})
+    return df.withColumns({c: half_even(F.col(c), decimals) for c in floats})
 
 
 def dominant(fragments: DataFrame, category: str, *, keys: Sequence[str] = KEYS, area: str = "area", out: str = "jednostka") -> DataFrame:
@@ -87,7 +92,7 @@ def class_shares(fragments: DataFrame, category: str, classes: Sequence[str] | N
         if len(classes) > MOST_CLASSES:
             raise ValueError(f"more than {MOST_CLASSES} classes to make columns of")
     share = lambda c: F.least(F.greatest(F.coalesce(_ratio(F.sum(F.when(F.col(category) == c, F.col(area))), F.max(hex_area)), F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
-    rounded = (lambda x: F.bround(x, decimals)) if decimals is not None else (lambda x: x)
+    rounded = (lambda x: half_even(x, decimals)) if decimals is not None else (lambda x: x)
     return known.groupBy(*keys).agg(*(rounded(share(c)).alias(f"{prefix}{c}_share") for c in classes))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hexpanel.operators.overlay import half_even
+
 
 def relative_change(now: Column, before: Column) -> Column:
     """0 for 0 to 0; null where the base is 0, which no tolerance admits."""
@@ -69,4 +71,4 @@ def percentile_rank(column: str, by: list[str] | None = None) -> Column:
     part = Window.partitionBy(*(by or [F.lit(1)]))
     rank = F.rank().over(part.orderBy(column))
     ties = F.count("*").over(Window.partitionBy(*(by or []), column))
-    return F.bround((rank + (ties - 1) / 2) / F.count(column).over(part) * 100, 1)
+    return half_even((rank + (ties - 1) / 2) / F.count(column).over(part) * 100, 1)

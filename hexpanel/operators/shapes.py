@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexpanel.functions import geometry as G
-from hexpanel.operators.overlay import round_floats
+from hexpanel.operators.overlay import half_even, round_floats
 
 log = logging.getLogger(__name__)
 _none_if_zero = lambda c: F.nullif(c, F.lit(0.0))
@@ -18,7 +18,7 @@ _none_if_zero = lambda c: F.nullif(c, F.lit(0.0))
 
 def size_scale(g: Column) -> dict[str, Column]:
     a, p = G.area(g), G.perimeter(g)
-    return {"area_ha": F.bround(a / 1e4, 4), "perimeter_m": F.bround(p, 1), "log_area": F.ln(a), "log_perimeter": F.ln(p), "mean_width": F.try_divide(2 * a, p)}
+    return {"area_ha": half_even(a / 1e4, 4), "perimeter_m": half_even(p, 1), "log_area": F.ln(a), "log_perimeter": F.ln(p), "mean_width": F.try_divide(2 * a, p)}
 
 
 def elongation(g: Column) -> dict[str, Column]:
