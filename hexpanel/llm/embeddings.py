@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexpanel.llm._util import cut
-from hexpanel.llm.components import components
+from hexpanel.llm.components import FEW, components
 
 THRESHOLD = 0.98
 TILE = 2048
@@ -112,7 +112,7 @@ def dedup(df: DataFrame, key: str = "vec_id", vector: str = "embedding", label:
 
     kind = df.schema[key].dataType.simpleString()
     found = cut(pairs.groupBy("g", "d", "lo", "hi").applyInArrow(compare, f"c {kind}, n bigint, to {kind}"), "links")
-    joined = components(found, "c", "to").toDF("c", "component")
+    joined = components(found, "c", "to", FEW).toDF("c", "component")
     n = found.groupBy("c").agg(F.sum("n").alias("n"))
     members = rows.where("v is not null").join(classes.select("g", "v", "c", "w"), ["g", "v"]).select("k", "c", "w")
     members = members.join(n, "c", "left").join(joined, "c", "left")

@@ -3,9 +3,17 @@
 Documents with one shingle set are one class. In each of several independent trees a class follows paths: a node picks
 one or, with the rest of 1/similarity as probability, two of the minwise hash functions, and a class goes to the child
 that its minwise token under each names. Nodes with few classes are compared exhaustively on signatures; larger ones
-branch again, up to a depth, beyond which a node is compared in pairs of bounded tiles, so none is skipped. Classes that
-signatures leave possible make candidate clusters; each cluster's whole texts are then shingled again and confirmed on
-full sets, following confirmed links breadth first so that links within what is already joined need no confirmation.
+branch again, up to a depth, beyond which a node is compared in pairs of bounded tiles, so none is skipped.
+
+Only components of links are asked for, so what is linked already is compared no more. The classes of a large node are
+first tried against a few leaders of it, and what is confirmed on full sets makes components; a node of one component
+is done, and of others only pairs across components count. A group of any number of copies of one text thus takes work
+in proportion to its size. The pairs that signatures leave possible across components, a spanning forest a node, are
+confirmed next. Where one is refuted and its ends stay apart, the components that refuted pairs tie together are compared
+again whole: by signatures in pairs of tiles, and on the full sets of those that signatures leave possible there.
+
+Full sets come from whole texts: pairs are confirmed in groups of one class and a bounded number of others, so the text
+of a class that many pairs share is sent once a group.
 
 Recall: pairs at the threshold share a child with probability 1 or close to it a level (similarity / similarity), at
 least 0.85 by one function. With the roots that SEED gives, and functions taken as independent, a pair just at the
@@ -23,11 +31,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from hexpanel.llm._util import cut
-from hexpanel.llm.components import components
+from hexpanel.llm._util import cut, tidy
+from hexpanel.llm.components import FEW, components
 
 SIGNATURE, TREES, DEPTH, LEAF, SETS = 64, 8, 4, 384, 1 << 20
+LEADERS, STAR = 3, 64  # leaders a large node, and classes that a group of pairs holds beside the one they share
 SHINGLE, PERCENT = 3, 85
 SEED = 5
 
@@ -113,37 +123,20 @@ def sketch(df: DataFrame, text: str, size: int) -> DataFrame:
     return df.withColumn("sk", run(F.col(text)))
 
 
-def _groups(it: Iterator[pa.RecordBatch], work: Callable[[pa.Table], list]) -> Iterator[pa.RecordBatch]:
+def _groups(it: Iterator[pa.RecordBatch], work: Callable[[pa.Table], Iterator[pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
     """Calls work on each run of rows of one gkey; rows come sorted by gkey. A group may span batches."""
     held: list[pa.RecordBatch] = []
-
-    def runs(batch: pa.RecordBatch) -> list[tuple[int, int]]:
-        k = batch.column("gkey").to_numpy()
-        at = np.concatenate([[0], np.flatnonzero(k[1:] != k[:-1]) + 1, [len(k)]])
-        return list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
-
-    def finish() -> list:
-        return work(pa.Table.from_batches(held)) if held else []
-
     for batch in it:
-        if not batch.num_rows:
-            continue
-        out = []
-        for a, b in runs(batch):
+        k = batch.column("gkey").to_numpy()
+        at = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), len(k)] if len(k) else []
+        for a, b in zip(at, at[1:], strict=False):
             part = batch.slice(a, b - a)
-            if held and held[0].column("gkey")[0].as_py() != part.column("gkey")[0].as_py():
-                out += finish()
+            if held and held[0].column("gkey")[0].as_py() != k[a]:
+                yield from work(pa.Table.from_batches(held))
                 held = []
             held.append(part)
-        yield from _edges(out)
-    yield from _edges(finish())
-
-
-def _edges(out: list) -> Iterator[pa.RecordBatch]:
-    if out:
-        a, b = (np.concatenate(x) for x in zip(*out, strict=True))
-        if len(a):
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    if held:
+        yield from work(pa.Table.from_batches(held))
 
 
 def _alike(sig: np.ndarray, least: int) -> np.ndarray:
@@ -151,9 +144,7 @@ def _alike(sig: np.ndarray, least: int) -> np.ndarray:
     agree = np.zeros((len(sig), len(sig)), np.uint8)
     for column in sig.T:
         agree += column[:, None] == column[None, :]
-    out = agree >= least
-    np.fill_diagonal(out, False)
-    return out
+    return agree >= least
 
 
 def _tree(n: int, near: Callable[[int, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -182,95 +173,184 @@ def _signatures(t: pa.Table) -> np.ndarray:
     return t.column("sig").combine_chunks().flatten().to_numpy().reshape(t.num_rows, SIGNATURE)
 
 
-def _tiled(df: DataFrame, key: str, tiles: str, by: str) -> DataFrame:
-    """Deals the rows of each key to tiles and sends each tile to its pairs of tiles: gkey, under which they meet."""
-    dealt = df.withColumn("_t", F.pmod(F.xxhash64(by), F.col(tiles)).cast("int")).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col(tiles) - 1)))
-    return dealt.withColumn("gkey", F.xxhash64(key, F.least("_t", "_o"), F.greatest("_t", "_o"))).drop("_t", "_o")
-
-
-def _by_group(df: DataFrame) -> DataFrame:
-    return df.repartition("gkey").sortWithinPartitions("gkey")
-
-
-def leaves(classes: DataFrame, percent: int, trees: int, depth: int, leaf: int) -> DataFrame:
-    """Rows node, rep, tiles: the nodes of all trees that hold two or more classes, each at the depth at which it is
-    compared, and the number of tiles it is compared in."""
+def _numbered(t: pa.Table, name: str) -> np.ndarray:
+    return t.column(name).combine_chunks().dictionary_encode().indices.to_numpy()
+
+
+def _pairs(t: pa.Table, a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if len(a):
+        ids = t.column("id").combine_chunks()
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(a)), ids.take(pa.array(b))], ["a", "b"])
+
+
+def _by_group(df: DataFrame, *then: str) -> DataFrame:
+    return df.repartition("gkey").sortWithinPartitions("gkey", *then)
+
+
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    if len(a) > len(b):
+        a, b = b, a
+    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+
+
+def _dealt(df: DataFrame, key: str, leaf: int, weight: str | None = None) -> DataFrame:
+    """Adds gkey, under which the rows of a key that have different comp meet. A key of up to `leaf` rows is one group.
+    Others are dealt to tiles, those of the key's largest comp to tiles of their own, and each tile goes to its pairs of
+    tiles; pairs within the largest comp are left out."""
+    units = F.greatest(F.count("*") / F.lit(leaf), F.sum(weight) / F.lit(SETS) if weight else F.lit(0.0)).alias("units")
+    by = df.groupBy(key, "comp").agg(units)
+    sums = cut(by.groupBy(key).agg(F.sum("units").alias("all"), F.max(F.struct("units", "comp")).alias("big")), "tiles")
+    rest = F.greatest(F.ceil(F.col("all") - F.col("big.units")), F.lit(1)).cast("int")
+    spread = df.join(sums, key).withColumn("_in", F.col("comp") == F.col("big.comp")).withColumns({"_r": rest, "_h": F.ceil("big.units").cast("int")})
+    own = F.pmod(F.xxhash64("id", F.lit(11)), F.when(F.col("_in"), F.col("_h")).otherwise(F.col("_r"))).cast("int")
+    spread = spread.withColumn("_t", own)
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    across = lambda r, h: F.xxhash64(key, F.lit(1), r, h)
+    of_big = F.transform(upto(F.col("_r")), lambda r: across(r, F.col("_t")))
+    of_rest = F.concat(F.transform(upto(F.col("_r")), lambda r: F.xxhash64(key, F.lit(0), F.least(r, F.col("_t")), F.greatest(r, F.col("_t")))), F.transform(upto(F.col("_h")), lambda h: across(F.col("_t"), h)))
+    groups = F.when(F.col("all") <= 1, F.array(F.xxhash64(key, F.lit(2)))).when(F.col("_in"), of_big).otherwise(of_rest)
+    return spread.withColumn("gkey", F.explode(groups)).drop("all", "big", "_in", "_r", "_h", "_t")
+
+
+def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """a, b, ok: whether the full sets of two classes are linked. Pairs that share a are dealt to groups of STAR; a group
+    gets the text of a once and then those of its b, of which a task holds one set at a time."""
+    counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(STAR)).alias("parts"))
+    dealt = pairs.join(counts, "a").select(F.xxhash64("a", F.pmod(F.xxhash64("b", F.lit(5)), F.col("parts"))).alias("gkey"), "a", "b")
+    needed = dealt.select("gkey", F.col("a").alias("id"), F.lit(0).alias("role")).distinct().union(dealt.select("gkey", "b", F.lit(1)))
+    named = needed.join(classes.select("id", "rep"), "id")
+    whole = docs.select(F.col("k").alias("rep"), "t")  # a repeated key may come with another text
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, lead, known = None, None, np.empty(0, np.uint64)
+        for batch in it:
+            a, b, ok = [], [], []
+            text = batch.column("t")
+            for i, (g, x, role) in enumerate(zip(batch.column("gkey").to_pylist(), batch.column("id").to_pylist(), batch.column("role").to_pylist(), strict=True)):
+                if g != group:
+                    group, lead = g, None
+                if role and lead is None:
+                    continue
+                s = shingles(text[i].as_py(), size)
+                if set_id(s) != x:
+                    continue
+                if not role:
+                    lead, known = x, s
+                    continue
+                both = _shared(known, s)
+                a.append(lead)
+                b.append(x)
+                ok.append(100 * both >= percent * (len(known) + len(s) - both))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
+
+    rows = _by_group(named.join(whole, "rep").select("gkey", "role", "id", "t"), "role", "id")
+    return cut(rows.mapInArrow(run, "a binary, b binary, ok boolean").distinct(), "confirmed")
+
+
+def _grown(classes: DataFrame, edges: list[DataFrame]) -> DataFrame:
+    """classes with comp, the least id that the edges reach."""
+    every = edges[0]
+    for e in edges[1:]:
+        every = every.union(e)
+    found = components(every, "a", "b", FEW).toDF("id", "_c")
+    return cut(classes.drop("comp").join(found, "id", "left").withColumn("comp", F.coalesce("_c", "id")).drop("_c"), "grown")
+
+
+@tidy("sketches", "grown")
+def _components(rows: DataFrame, docs: DataFrame, size: int, percent: int, trees: int, depth: int, leaf: int) -> DataFrame:
+    """id, rep, comp of every class of rows."""
+    classes = cut(rows.where("k is not null and id is not null").groupBy("id").agg(F.min("k").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")).withColumn("comp", F.col("id")), "classes")
+    least = next(m for m in range(SIGNATURE) if _tail(m, percent / 100) > 2e-5)
     r = random.Random(SEED)
     second = 100.0 / percent - 1
     roots = []
     for t in range(trees):
         some = r.sample(range(SIGNATURE), 2 if r.random() < second else 1)
         roots += [F.xxhash64(F.lit(t), F.lit(c), F.element_at("sig", c + 1)) for c in some]
-    level = classes.select("rep", F.explode(F.array_distinct(F.array(*roots))).alias("node"))
-    done = None
-    for at in range(1, depth + 1):
-        level = cut(level, "paths")
-        # written, so that adaptive execution can split the join at a node that many classes come to
-        sizes = cut(level.groupBy("node").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    level = cut(classes.select("id", F.explode(F.array_distinct(F.array(*roots))).alias("node")), "paths")
+    leader = lambda s: F.min(F.struct(F.xxhash64("id", F.lit(s)).alias("h"), F.col("id")))["id"]
+    # written, so that adaptive execution can split the join at a node that many classes come to
+    sizes = cut(level.groupBy("node").agg(F.count("*").alias("size"), F.array(*map(leader, range(LEADERS))).alias("leaders")).where("size > 1"), "sizes")
+    sized = cut(level.join(sizes, "node"), "nodes")
+    ready = sized.where(F.col("size") <= leaf).select("node", "id")
+    large = sized.where(F.col("size") > leaf).select("node", "id", "leaders")
+    edges: list[DataFrame] = []
+    if not large.isEmpty():
+        tried = cut(large.select(F.explode("leaders").alias("a"), F.col("id").alias("b")).where("a != b").distinct(), "tried")
+        signed = tried.join(classes.select(F.col("id").alias("a"), F.col("sig").alias("x")), "a").join(classes.select(F.col("id").alias("b"), F.col("sig").alias("y")), "b")
+        agree = F.aggregate(F.zip_with("x", "y", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
+        edges.append(confirm(cut(signed.where(agree >= least).select("a", "b"), "alike"), classes, docs, size, percent).where("ok").select("a", "b"))
+        classes = _grown(classes, edges)
+    level, at = large.select("node", "id"), 1
+    while True:
+        if level.isEmpty():
+            break
+        level = cut(level.join(classes.select("id", "comp"), "id"), "paths")
+        sizes = cut(level.groupBy("node").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("node", "size"), "sizes")
         sized = cut(level.join(sizes, "node"), "nodes")
         last = at == depth
-        ready = sized if last else sized.where(F.col("size") <= leaf)
-        ready = ready.select("node", "rep", F.ceil(F.col("size") / F.lit(leaf)).cast("int").alias("tiles"))
-        done = ready if done is None else done.unionByName(ready)
-        large = sized.where(F.col("size") > leaf).select("rep", "node")
-        if last or large.isEmpty():
-            return done
+        ready = ready.union((sized if last else sized.where(F.col("size") <= leaf)).select("node", "id"))
+        if last:
+            break
         place = lambda salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(SIGNATURE)).cast("int")
         child = lambda salt: F.xxhash64("node", place(salt), F.element_at("sig", place(salt) + 1))
         both = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(10000)) < F.lit(int(second * 10000))
-        level = large.join(classes.select("rep", "sig"), "rep").select("rep", F.explode(F.array_distinct(F.when(both, F.array(child(1), child(2))).otherwise(F.array(child(1))))).alias("node"))
-    return done
+        branched = sized.where(F.col("size") > leaf).select("id", "node").join(classes.select("id", "sig"), "id")
+        level = branched.select("id", F.explode(F.array_distinct(F.when(both, F.array(child(1), child(2))).otherwise(F.array(child(1))))).alias("node"))
+        at += 1
+
+    def possible(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def work(t: pa.Table) -> Iterator[pa.RecordBatch]:
+            comp = _numbered(t, "comp")
+            if t.num_rows > 1 and comp.max():
+                near = _alike(_signatures(t), least) | (comp[:, None] == comp)
+                a, b = _tree(t.num_rows, lambda i, some: near[i, some])
+                across = comp[a] != comp[b]
+                yield from _pairs(t, a[across], b[across])
 
+        return _groups(it, work)
 
-def link(df: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH, leaf: int = LEAF) -> DataFrame:
-    """One row per row of df: key, n_shingles, component_id (least key that links reach, itself included), kept
-    (key = component_id).
-
-    Links join documents with 100 * intersection >= percent * union of their sets of `size`-word shingles (A-Z
-    lower-cased; fewer words make one shingle). Null texts and texts without words have size 0 and link with nothing, nor
-    do null keys. Equal sets link whatever the number of rows; rows that repeat a key get that key's verdict by their own
-    text. percent: 50 or more.
-    """
-    docs = df.select(df[key].cast("bigint").alias("k"), F.coalesce(df[text].cast("string"), F.lit("")).alias("t"))
-    rows = cut(sketch(docs, "t", size).select("k", "sk.n", "sk.id", F.when(F.col("sk.n") > 0, F.col("sk.sig")).alias("sig")), "sketches")
-    live = rows.where("k is not null and id is not null")
-    classes = cut(live.groupBy("id").agg(F.min("k").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
-    least = next(m for m in range(SIGNATURE) if _tail(m, percent / 100) > 2e-5)
-
-    def on_signatures(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def work(t: pa.Table) -> list:
-            if t.num_rows < 2:
-                return []
-            near = _alike(_signatures(t), least)
-            a, b = _tree(t.num_rows, lambda i, some: near[i, some])
-            rep = t.column("rep").to_numpy()
-            return [(rep[a], rep[b])]
+    met = _dealt(ready.join(classes.select("id", "comp"), "id"), "node", leaf).select("gkey", "id").join(classes.select("id", "comp", "sig"), "id")
+    found = cut(_by_group(met).mapInArrow(possible, "a binary, b binary").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "possible")
+    told = confirm(found, classes, docs, size, percent)
+    edges.append(told.where("ok").select("a", "b"))
+    classes = _grown(classes, edges)
+
+    # what refuted pairs tie together, though it is not linked yet, is compared whole
+    comp = lambda end: classes.select(F.col("id").alias(end), F.col("comp").alias(f"c{end}"))
+    open_ = cut(told.where("not ok").join(comp("a"), "a").join(comp("b"), "b").where("ca != cb").select("ca", "cb").distinct(), "open")
+    if open_.isEmpty():
+        return classes
+    clusters = components(open_, "ca", "cb", FEW).toDF("comp", "cluster")
+    members = cut(_dealt(classes.join(clusters, "comp"), "cluster", leaf, "n").select("gkey", "id", "rep", "comp", "sig"), "members")
+
+    def across(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def work(t: pa.Table) -> Iterator[pa.RecordBatch]:
+            comp = _numbered(t, "comp")
+            if t.num_rows > 1 and comp.max():
+                some = (_alike(_signatures(t), least) & (comp[:, None] != comp)).any(1)
+                if some.any():
+                    yield t.select(["gkey", "id"]).filter(pa.array(some)).combine_chunks().to_batches()[0]
 
         return _groups(it, work)
 
-    found = leaves(classes, percent, trees, depth, leaf)
-    met = _tiled(found, "node", "tiles", "rep").select("gkey", "rep").join(classes.select("rep", "sig"), "rep")
-    possible = _by_group(met.select("gkey", "rep", "sig")).mapInArrow(on_signatures, "a bigint, b bigint")
-    clusters = components(possible, "a", "b").toDF("rep", "cluster")
-    members = clusters.join(classes, "rep")
-    sums = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / F.lit(leaf)), F.ceil(F.sum("n") / F.lit(SETS))).cast("int").alias("tiles"))
-    members = _tiled(members.join(sums, "cluster"), "cluster", "tiles", "rep").select("gkey", "rep", "id", "sig")
-    whole = docs.join(clusters.select("rep"), docs["k"] == F.col("rep"), "left_semi").select(F.col("k").alias("rep"), "t")
-
     def on_sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def work(t: pa.Table) -> list:
-            ids, texts = t.column("id").to_pylist(), t.column("t").to_pylist()
-            sets = [shingles(x, size) for x in texts]
-            mine = [i for i, s in enumerate(sets) if set_id(s) == ids[i]]  # a repeated key may come with another text
-            if len(mine) < 2:
-                return []
+        def work(t: pa.Table) -> Iterator[pa.RecordBatch]:
+            ids, text = t.column("id").to_pylist(), t.column("t")
+            sets = [shingles(text[i].as_py(), size) for i in range(t.num_rows)]
+            mine = [i for i, s in enumerate(sets) if set_id(s) == ids[i]]
             sets = [sets[i] for i in mine]
-            rep, sig = t.column("rep").to_numpy()[mine], _signatures(t)[mine]
-            near, count = _alike(sig, least), np.array([len(s) for s in sets])
-
-            def confirmed(i: int, some: np.ndarray) -> np.ndarray:
-                out = near[i, some].copy()
-                at = np.flatnonzero(out)
+            t = t.select(["id", "comp", "sig"]).take(mine)
+            if len(mine) < 2:
+                return
+            comp = _numbered(t, "comp")
+            same = comp[:, None] == comp
+            near, count = _alike(_signatures(t), least) & ~same, np.array([len(s) for s in sets])
+
+            def linked(i: int, some: np.ndarray) -> np.ndarray:
+                out = same[i, some].copy()
+                at = np.flatnonzero(near[i, some])
                 if len(at):
                     other = np.concatenate([sets[j] for j in some[at]])
                     place = np.minimum(np.searchsorted(sets[i], other), count[i] - 1)
@@ -279,17 +359,41 @@ def link(df: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHI
                     out[at] = 100 * both >= percent * (count[i] + count[some[at]] - both)
                 return out
 
-            a, b = _tree(len(mine), confirmed)
-            return [(rep[a], rep[b])]
+            a, b = _tree(len(mine), linked)
+            yield from _pairs(t, a, b)
 
         return _groups(it, work)
 
-    linked = _by_group(members.join(whole, "rep")).mapInArrow(on_sets, "a bigint, b bigint")
-    joined = components(linked, "a", "b").toDF("rep", "component")
-    ids = classes.select("id", "rep").join(joined, "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
-    out = rows.select("k", "n", F.when(F.col("k").isNotNull(), F.col("id")).alias("id")).join(ids, "id", "left")
+    tight = _by_group(members.select("gkey", "id", "comp", "sig")).mapInArrow(across, "gkey bigint, id binary").distinct()
+    whole = docs.select(F.col("k").alias("rep"), "t")
+    texts = tight.join(members, ["gkey", "id"]).join(whole, "rep").select("gkey", "id", "comp", "sig", "t")
+    edges.append(cut(_by_group(texts).mapInArrow(on_sets, "a binary, b binary"), "linked"))
+    return _grown(classes, edges)
+
+
+def link(df: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH, leaf: int = LEAF, detail: bool = False) -> DataFrame:
+    """One row per row of df: key, n_shingles, component_id (least key that links reach, itself included), kept
+    (key = component_id).
+
+    Links join documents with 100 * intersection >= percent * union of their sets of `size`-word shingles (A-Z
+    lower-cased; fewer words make one shingle). Null texts and texts without words have size 0 and link with nothing, nor
+    do null keys. Equal sets link whatever the number of rows; rows that repeat a key get that key's verdict by their own
+    text. Texts are read whole whatever their length; an empty table gives no rows. key: an integer column, else a
+    ValueError. percent: 50 or more. detail: also text_sha256, and group, which rows of one component share and no others
+    (null for those that link with nothing): where a key repeats, component_id alone doesn't tell components apart.
+    """
+    if not isinstance(df.schema[key].dataType, IntegralType):
+        raise ValueError(f"{key} must be an integer column")
+    docs = df.select(df[key].cast("bigint").alias("k"), F.coalesce(df[text].cast("string"), F.lit("")).alias("t"))
+    more = [F.sha2("t", 256).alias("sha")] if detail else []
+    rows = cut(sketch(docs, "t", size).select("k", "sk.n", "sk.id", F.when(F.col("sk.n") > 0, F.col("sk.sig")).alias("sig"), *more), "sketches")
+    classes = _components(rows, docs, size, percent, trees, depth, leaf)
+    roots = classes.groupBy("comp").agg(F.min("rep").alias("component"))
+    ids = classes.select("id", "comp").join(roots, "comp")
+    out = rows.select("k", "n", F.when(F.col("k").isNotNull(), F.col("id")).alias("id"), *(["sha"] if detail else [])).join(ids, "id", "left")
     root = F.coalesce("component", "k")
-    return out.select(F.col("k").alias(key), F.col("n").alias("n_shingles"), root.alias("component_id"), F.col("k").eqNullSafe(root).alias("kept"))
+    more = [F.col("comp").alias("group"), F.col("sha").alias("text_sha256")] if detail else []
+    return out.select(F.col("k").alias(key), F.col("n").alias("n_shingles"), root.alias("component_id"), F.col("k").eqNullSafe(root).alias("kept"), *more)
 
 
 def _tail(m: int, p: float, n: int = SIGNATURE) -> float:
