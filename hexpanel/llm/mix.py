@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hexpanel.llm._util import cut
+from hexpanel.llm._util import cut, fresh, tidy
 
 CAP = 3
 CYCLE = (1, 2, 3)
@@ -45,6 +45,7 @@ def _hash(key: Column, seed: int) -> Column:
     return F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(key.cast("string"), F.lit("null")))), 1, DIGITS * LEVELS)
 
 
+@tidy("bounds")
 def thresholds(rows: DataFrame, cap: int = CAP) -> DataFrame:
     """rows: source, size, h. One row a source: source_size, target, whole copies of all its documents, and the hash
     below which documents are taken once more (prefix; nearer: at which, too; more: all, where no hash ends the budget)."""
@@ -61,16 +62,17 @@ def thresholds(rows: DataFrame, cap: int = CAP) -> DataFrame:
         near = near.withColumn("upto", F.col("below") + F.coalesce(F.sum("s").over(before), F.lit(0)))
         ended = near.where(F.col("upto") + F.col("s") > F.col("budget")).groupBy("source").agg(F.min(F.struct("bucket", "upto", "s")).alias("e"))
         found = sources.join(ended.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left")
-        found = cut(found.select("source", "source_size", "target", "whole", "budget", F.col("e.bucket").alias("prefix"), F.coalesce("e.upto", F.lit(0)).alias("below"), F.col("e.s").alias("last")), "bounds")
+        found = cut(found.select("source", "source_size", "target", "whole", "budget", F.col("e.bucket").alias("prefix"), F.coalesce("e.upto", F.lit(0)).alias("below"), F.col("e.s").alias("last")), "bounds" if n == DIGITS * LEVELS else "level")
         at = found.where("prefix is not null").select(F.col("source").alias("at"), "prefix")
         inside = inside.join(at, F.col("source").eqNullSafe(F.col("at")) & (F.substring("h", 1, n) == F.col("prefix"))).select("source", "size", "h")
     nearer = F.coalesce(F.col("below") + F.col("last") - F.col("budget") < F.col("budget") - F.col("below"), F.lit(False))
     return found.select(F.col("source").alias("of"), "source_size", "target", "whole", "prefix", nearer.alias("nearer"), (F.col("prefix").isNull() & (F.col("budget") > 0)).alias("more"))
 
 
-def _copies(h: Column, cap: int) -> Column:
-    once = F.col("more") | F.coalesce((h < F.col("prefix")) | (h == F.col("prefix")) & F.col("nearer"), F.lit(False))
-    return F.least(F.col("whole") + F.when(once, 1).otherwise(0), F.lit(cap)).cast("long")
+def _copies(bound: Column, h: Column, cap: int) -> Column:
+    """How often a document of a hash is taken; bound: a struct of what `thresholds` tells of its source."""
+    once = bound["more"] | F.coalesce((h < bound["prefix"]) | (h == bound["prefix"]) & bound["nearer"], F.lit(False))
+    return F.least(bound["whole"] + F.when(once, 1).otherwise(0), F.lit(cap)).cast("long")
 
 
 def _sizes(df: DataFrame, key: str, text: str, source: str, seed: int) -> DataFrame:
@@ -86,13 +88,17 @@ def mix(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "s
     than cap times. An empty table gives no rows.
     """
     rows = _sizes(df, key, text, source, seed)
-    out = rows.join(thresholds(rows, cap), F.col("source").eqNullSafe(F.col("of"))).withColumn("copies", _copies(F.col("h"), cap))
-    return out.select(F.col("k").alias(key), "source", "size", F.col("source_size").cast("long").alias("source_size"), "target", "copies", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
+    bounds = thresholds(rows, cap).select(F.struct("*").alias("b"))
+    out = rows.join(bounds, F.col("source").eqNullSafe(F.col("b.of"))).withColumn("copies", _copies(F.col("b"), F.col("h"), cap))
+    return out.select(F.col("k").alias(key), "source", "size", F.col("b.source_size").cast("long").alias("source_size"), "b.target", "copies", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
 
 
 def take(df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: int = 7, cap: int = CAP) -> DataFrame:
-    """The mix itself: df's rows and columns, each row as often as the mix takes it. The texts are not shuffled: only
-    the thresholds, one row a source, meet them."""
-    bounds = thresholds(_sizes(df, key, text, source, seed), cap)
-    joined = df.withColumn("_h", _hash(df[key], seed)).join(bounds, df[source].cast("string").eqNullSafe(F.col("of")))
-    return joined.withColumn("_copies", _copies(F.col("_h"), cap)).where("_copies > 0").withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*(df[c] for c in df.columns))
+    """The mix itself: df's rows and columns, whatever their names, each row as often as the mix takes it. The texts are
+    not shuffled: only the thresholds, one row a source, meet them. Nulls, empty texts, ties and repeated rows are taken
+    as in `mix`; an empty table gives no rows."""
+    b, h, n = fresh(df, "bound", "hash", "copy")
+    bounds = thresholds(_sizes(df, key, text, source, seed), cap).select(F.struct("*").alias(b))
+    joined = df.withColumn(h, _hash(df[key], seed)).join(bounds, df[source].cast("string").eqNullSafe(F.col(f"{b}.of")))
+    copies = _copies(F.col(b), F.col(h), cap)
+    return joined.where(copies > 0).withColumn(n, F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*(df[c] for c in df.columns))

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hexpanel.llm._util import fresh
 from hexpanel.llm.components import components
 
 #: Fixed values: (verdict, host, path).
@@ -94,11 +95,15 @@ def resolve(to: Column, base: Column) -> Column:
 
 def links(df: DataFrame, url: str = "url", body: str = "html") -> DataFrame:
     """Columns a and b: canonical links and refresh redirects that pages declare in their HTML. Relative targets are
-    resolved against the page's address, or its base element where it has one."""
+    resolved against the page's address, or its base element where it has one. Tags in comments are none; pages are read
+    whole; null pages and addresses, and an empty table, give no links; repeated rows repeat theirs."""
     page = F.coalesce(df[body].cast("string"), F.lit(""))
     clean = lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.coalesce(c, F.lit("")), r"[\t\n\r\f]", ""), "&amp;", "&"))
-    found = lambda names: F.regexp_extract_all(page, F.lit(rf"(?is)<(?:{names})\b[^>]*>"), F.lit(0))
-    said = df.where(page.rlike(r"(?i)canonical|http-equiv")).select(F.trim(df[url]).alias("u"), found("link|meta").alias("tags"), found("base").alias("bases"))
+    # a tag ends at the first > outside its quoted values; a 65th of these would end at the next one
+    tag_of = r"""(?is)<(?:{})\b[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+){{0,64}}[^>]*>"""
+    found = lambda names: F.regexp_extract_all("page", F.lit(tag_of.format(names)), F.lit(0))
+    shown = df.where(page.rlike(r"(?i)canonical|http-equiv")).select(F.trim(df[url]).alias("u"), F.inline(F.array(F.struct(F.regexp_replace(page, r"(?s)<!--.*?(?:-->|\z)", "").alias("page")))))
+    said = shown.select("u", found("link|meta").alias("tags"), found("base").alias("bases"))
     base = F.get(F.filter(F.transform("bases", lambda t: attribute(t, "href")), lambda x: x.isNotNull()), F.lit(0))
     # inline keeps each step apart: as columns the optimizer would write them out at each use
     said = said.select("u", "tags", F.inline(F.array(F.struct(clean(base).alias("base"))))).select("u", "base", F.explode("tags").alias("tag"))
@@ -119,20 +124,25 @@ def judge(df: DataFrame, url: str = "url", body: str | None = "html", redirects:
 
     redirects: optional, columns a and b of addresses that stand for one another. Null addresses and addresses without
     :// have an empty host and path, fit no rule and get the default. A rule decides its own addresses whatever their
-    aliases say; among aliases allow goes before block. Repeated rows get one verdict each.
+    aliases say; among aliases allow goes before block. Repeated rows get one verdict each; an empty table gives no rows;
+    other columns keep their names, whatever they are. Pages are read whole whatever their length.
     """
-    out = df.drop("host", "path", "rule", "verdict")
+    address_, ruled, alias, said = fresh(df, "address", "ruled", "alias", "said")
+    names = {c.lower() for c in ("host", "path", "rule", "verdict")}
+    own = [df[c].alias(c) for c in df.columns if c.lower() not in names]
     h, p = host(df[url]), path(df[url])
     edges = links(df, url, body) if body else None
     if redirects is not None:
         more = redirects.select(address(F.col("a")).alias("a"), address(F.col("b")).alias("b"))
         edges = edges.unionByName(more) if edges is not None else more
-    found = rule_of(h, p, rules)
-    out = out.withColumns({"host": h, "path": p}).withColumns({"rule": found["rule"]})
-    ruled = found["verdict"]
+    # inline keeps the address apart: it may itself be one of the columns that are replaced
+    out = df.select(*own, F.inline(F.array(F.struct(h.alias("host"), p.alias("path"), address(df[url]).alias(address_)))))
+    out = out.withColumn(ruled, rule_of(F.col("host"), F.col("path"), rules))
+    columns = [*(F.col(f"`{c}`") for c in df.columns if c.lower() not in names), F.col("host"), F.col("path"), F.col(f"{ruled}.rule").alias("rule")]
     if edges is None or (joined := components(edges, "a", "b")).isEmpty():
-        return out.withColumn("verdict", F.coalesce(ruled, F.lit(default)))
+        return out.select(*columns, F.coalesce(f"{ruled}.verdict", F.lit(default)).alias("verdict"))
     verdict = rule_of(host(F.col("node")), path(F.col("node")), rules)["verdict"]
     decided = joined.withColumn("v", verdict).groupBy("component").agg(F.min("v").alias("v"))  # "allow" < "block"
-    aliases = joined.join(decided, "component").where("v is not null").select(F.col("node").alias("_alias"), F.col("v").alias("_said"))
-    return out.withColumn("_ruled", ruled).join(aliases, address(out[url]) == F.col("_alias"), "left").withColumn("verdict", F.coalesce("_ruled", "_said", F.lit(default))).drop("_ruled", "_alias", "_said")
+    aliases = joined.join(decided, "component").where("v is not null").select(F.col("node").alias(alias), F.col("v").alias(said))
+    out = out.join(aliases, F.col(address_) == F.col(alias), "left")
+    return out.select(*columns, F.coalesce(f"{ruled}.verdict", said, F.lit(default)).alias("verdict"))
