@@ -1,9 +1,11 @@
 """Secret scan by grammar inference.
 
 Labelled credentials of known formats make prefix trees; states whose futures are statistically compatible (Hoeffding's
-bound) are merged into one probabilistic automaton a format, and one for ordinary tokens. Every candidate token is
-scored by how much likelier its best format makes it than ordinary text does. Base patterns are found exactly and stay
-whatever the score; tokens without one are added where the score is high.
+bound) are merged into one probabilistic automaton a format, and one for ordinary tokens. Merging makes states forget how
+long a token is, so each automaton also learns the lengths of its format; a token of another length has no likelihood
+under it. Every candidate token is scored by how much likelier its best format makes it than ordinary text does: nats a
+symbol, over at most SPAN symbols, so that a score doesn't grow with length alone. Base patterns are found exactly and
+stay whatever the score; tokens without one are added where the score is high.
 """
 
 from __future__ import annotations
@@ -26,11 +28,12 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # a run that is long enough begins where the leftmost match of any length does
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{20,}")  # no format of labelled() makes a shorter credential
+RUN = "[A-Za-z0-9+/_.=-]"
+DIGEST = re.compile(r"(?:md5|sha(?:1|224|256|384|512))[-:=_][A-Za-z0-9+/]{16,}={0,2}", re.I)  # says itself that it is public
 PART = re.compile(r"[^/.=]+")  # of a candidate, which may hold a credential among other things
 
 #: Parameters of training and scoring.
-EXAMPLES, ORDINARY, ALPHA, SEED, FLOOR, LEAST_SCORE = 160, 2600, 0.02, 11, 1e-3, 25.0
+EXAMPLES, ORDINARY, ALPHA, SEED, FLOOR, LEAST_SCORE, SPAN = 160, 3000, 0.02, 11, 1e-3, 25.0, 60
 
 _UPPER, _LOWER, _DIGIT = string.ascii_uppercase, string.ascii_lowercase, string.digits
 
@@ -56,14 +59,21 @@ def labelled(seed: int = SEED, each: int = EXAMPLES, ordinary: int = ORDINARY) -
         lambda: r.choice("-./").join(some(_DIGIT, r.randint(1, 4)) for _ in range(r.randint(6, 10))),
         lambda: word(r.randint(5, 10)) + some(_DIGIT, r.randint(1, 6)), lambda: word(r.randint(4, 8)) + "." + word(r.randint(2, 6)) + some(_DIGIT, 2),
         lambda: "_".join(word(r.randint(1, 3)).upper() for _ in range(r.randint(4, 7))), lambda: r.choice(syllables) * r.randint(10, 20),
+        # what looks like credentials: alphabets, dotted names with digits, identifiers by number, times
+        lambda: "".join(r.sample([_UPPER, _LOWER, _DIGIT], r.randint(2, 3))), lambda: ".".join(word(r.randint(1, 3)).capitalize() + r.choice(["", "", str(r.randint(1, 99))]) for _ in range(r.randint(3, 7))),
+        lambda: ".".join([word(1), word(2), *("_".join(word(r.randint(1, 2)).capitalize() + r.choice(["", str(r.randint(1, 9))]) for _ in range(r.randint(1, 3))) for _ in range(r.randint(2, 4)))]),
+        lambda: "//" + ".".join([r.choice(["www", word(1)]), word(r.randint(2, 5)), r.choice(["org", "com", "net", "de"])]) + "/" + "/".join(r.choice([str(r.randint(1990, 2030)), some(_DIGIT, 2), word(1)]) for _ in range(r.randint(0, 3))) + "/" + "-".join(word(r.randint(1, 3)) for _ in range(r.randint(2, 6))) + r.choice([".html", "", "/"]),
+        lambda: "-".join(some("0123456789abcdef", n) for n in (8, 4, 4, 4, 12)), lambda: f"{r.randint(1990, 2030)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}T{some(_DIGIT, 6)}.{some(_DIGIT, 3)}+{some(_DIGIT, 4)}",
+        lambda: "".join(word(r.randint(1, 3)).capitalize() + r.choice(["", "", some(_DIGIT, r.randint(1, 3))]) for _ in range(r.randint(4, 8))),
+        lambda: word(r.randint(2, 4)) + "." + some("0123456789abcdef", 8) + ".chunk." + r.choice(["js", "css", "map"]),
     ]
     make = {
         "access": lambda: "AKIA" + some(_UPPER + "234567", 16),
         "github": lambda: "gh" + r.choice("pousr") + "_" + some(alnum, 36),
         "google": lambda: "AIza" + some(url, 35),
         "hex": lambda: some("0123456789abcdef", r.choice([32, 40, 64])),
-        "jwt": lambda: "eyJ" + some(url, r.randint(20, 40)) + ".eyJ" + some(url, r.randint(30, 60)) + "." + some(url, 43),
-        "key": lambda: some(alnum + "+/", r.choice([32, 40, 44])),
+        "jwt": lambda: "eyJ" + some(url, r.randint(17, 60)) + ".eyJ" + some(url, r.randint(30, 500)) + "." + some(url, r.choice([43, 86, 342])),
+        "key": lambda: some(alnum + "+/", n := r.choice([32, 40, 43, 64, 86])) + {43: "=", 86: "=="}.get(n, ""),
         "slack": lambda: "xox" + r.choice("bpars") + "-" + some(_DIGIT, r.randint(10, 12)) + "-" + some(_DIGIT, r.randint(10, 12)) + "-" + some(alnum, 24),
         "stripe": lambda: r.choice(["sk", "rk", "pk"]) + r.choice(["_live_", "_test_"]) + some(alnum, 24),
     }
@@ -108,7 +118,8 @@ class Automaton:
             blue = [(s, k) for s in red for k in sorted(s.to) if id(s.to[k]) not in known]
         at = {id(s): i for i, s in enumerate(red)}
         self.states = len(red)
-        self.shortest = min(map(len, examples), default=0)
+        short, long = min(map(len, examples), default=0), max(map(len, examples), default=0)
+        self.shortest, self.longest = max(1, short - (long - short) // 10), long + (long - short) // 4  # beyond the examples as far as they are spread
         #: A row for each state: symbol -> (log probability, next); the end is the symbol "".
         self.rows = [{k: (math.log(s.taken[k] / s.seen), at[id(n)]) for k, n in s.to.items()} | ({"": (math.log(s.ended / s.seen), -1)} if s.ended else {}) for s in red]
 
@@ -157,16 +168,41 @@ def models() -> dict[str, Automaton]:
     return {k: Automaton(v) for k, v in labelled().items()}
 
 
+@lru_cache(8)
+def _candidate(shortest: int) -> re.Pattern:
+    return re.compile(f"{RUN}{{{shortest},}}")
+
+
+def candidate(trained: dict[str, Automaton]) -> re.Pattern:
+    """Runs that are long enough for the format of the shortest credentials: under every format, shorter ones have no
+    likelihood."""
+    return _candidate(min(a.shortest for k, a in trained.items() if k))
+
+
 def likeliest(token: str, trained: dict[str, Automaton]) -> tuple[str, float]:
-    """The format that makes a token likeliest against ordinary text, and by how many nats."""
+    """The format that makes a token likeliest against ordinary text, and by how many nats over at most SPAN symbols;
+    minus infinity where no format has tokens of that length."""
+    n = len(token)
+    fits = [(k, a) for k, a in trained.items() if k and a.shortest <= n <= a.longest]
+    if not fits:
+        return "", -math.inf
     symbols = [symbol(c) for c in token]
     plain = trained[""].score(symbols)
-    return max(((k, a.score(symbols) - plain) for k, a in trained.items() if k), key=lambda x: (x[1], x[0]))
+    return max(((k, (a.score(symbols) - plain) / n * min(n, SPAN)) for k, a in fits), key=lambda x: (x[1], x[0]))
+
+
+def encoded(token: str, trained: dict[str, Automaton]) -> bool:
+    """Whether a token is made like a credential of some format all along but longer than any of it: encoded data."""
+    beyond = [a for k, a in trained.items() if k and a.longest < len(token)]
+    symbols, width = [symbol(c) for c in token], SPAN // 2
+    windows = [symbols[i : i + width] for i in range(0, len(symbols) - width + 1, width)]
+    return bool(beyond) and all(max(a.score(w) for a in beyond) - trained[""].score(w) > 0 for w in windows)
 
 
 def embedded(text: str, parts: list[tuple[int, int]], trained: dict[str, Automaton], least: float) -> list[tuple[str, int, int, float]]:
     """Spans from the start of a part to the end of the same or a later one, apart from each other, none shorter than
-    its format's shortest credential: those of the largest sum of score - least, so that each scores `least` or more.
+    its format's shortest credential: those of the largest sum of nats - least; of them, what `likeliest` scores at
+    `least` or more.
 
     What began at different parts and has come to the same pair of states goes on with the better sum only, so the time
     is in proportion to the length whatever the number of parts.
@@ -192,6 +228,8 @@ def embedded(text: str, parts: list[tuple[int, int]], trained: dict[str, Automat
             i = ends[p]
             best[i + 1] = best[i]
             for (k, f, o), (value, since) in pool.items():
+                if p - (parts[since][0] - lo) > trained[k].longest:
+                    continue
                 value += rows[k][f].get("", (low, -1))[0] - plain[o].get("", (low, -1))[0] - least
                 if value > best[i + 1] or value == best[i + 1] and last[i + 1] is None:
                     best[i + 1], last[i + 1] = value, (k, since)
@@ -218,39 +256,63 @@ def embedded(text: str, parts: list[tuple[int, int]], trained: dict[str, Automat
         if last[i] is None:
             i -= 1
             continue
-        k, since = last[i]
-        found.append((k, parts[since][0], parts[i - 1][1], best[i] - best[since] + least))
+        _, since = last[i]
+        found += _best(text, parts[since:i], trained, least)
         i = since
-    return found[::-1]
+    return sorted(found, key=lambda x: x[1])
+
+
+def _best(text: str, parts: list[tuple[int, int]], trained: dict[str, Automaton], least: float) -> list[tuple[str, int, int, float]]:
+    """All parts together if they score `least`, else the best stretches of up to three of them that do and are apart."""
+    stretches = [(0, len(parts))] + [(i, j) for i in range(len(parts)) for j in range(i + 1, min(i + 4, len(parts) + 1))]
+    scored = []
+    for i, j in stretches:
+        a, b = parts[i][0], parts[j - 1][1]
+        kind, score = likeliest(text[a:b], trained)
+        if score >= least:
+            scored.append((kind, a, b, score))
+            if j - i == len(parts):
+                break
+    out: list[tuple[str, int, int, float]] = []
+    for x in sorted(scored, key=lambda x: (-x[3], x[1])):
+        if all(x[2] <= a or b <= x[1] for _, a, b, _ in out):
+            out.append(x)
+    return out
 
 
 def within(text: str, parts: list[tuple[int, int]], trained: dict[str, Automaton], least: float) -> list[tuple[str, int, int, float]]:
     """The whole stretch of parts where it is a candidate that scores `least` or more, else what is embedded in it."""
-    if parts and CANDIDATE.fullmatch(text, a := parts[0][0], b := parts[-1][1]):
+    if parts and candidate(trained).fullmatch(text, a := parts[0][0], b := parts[-1][1]):
         kind, score = likeliest(text[a:b], trained)
         if score >= least:
             return [(kind, a, b, score)]
+        if encoded(text[a:b], trained):
+            return []
     return embedded(text, parts, trained, least)
 
 
 def scan(text: str, trained: dict[str, Automaton], least: float = LEAST_SCORE) -> list[tuple[str, int, int, float | None]]:
     """Spans (kind, start, end, score): base spans first found exactly, then candidates that overlap none and score
-    `least` or more, by start, then kind. Positions are code points, ends exclusive. Where a candidate scores less as a
+    `least` or more, by start, then kind. Positions are code points, ends exclusive. Encoded data and digests that are named
+    as such are not candidates. Where a candidate scores less as a
     whole, or overlaps base spans, what its other parts hold between / . = is scored as well."""
     base = []
-    if any(k in low for low in [text.lower()] for k in KEYWORDS):
+    low = text.lower()
+    if any(k in low for k in KEYWORDS):
         base += [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
     if "AKIA" in text:
         base += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
-    tokens = [(m.start(), m.end()) for m in CANDIDATE.finditer(text)]
+    tokens = [(m.start(), m.end()) for m in candidate(trained).finditer(text)]
     base += [("hex", a + m.start(), a + m.end()) for a, b in tokens if b - a >= 32 for m in HEX.finditer(text[a:b])]
     order = {k: i for i, k in enumerate(BASE)}
-    taken = sorted((a, b) for _, a, b in base)
+    digests = [m.span() for m in DIGEST.finditer(text)] if "sha" in low or "md5" in low else []
+    taken = sorted([(a, b) for _, a, b in base] + digests)
     found = []
     for k, a, b in base:
-        found.append((k, a, b, likeliest(text[a:b] if k != "assign" else ASSIGN.match(text, a)[2], trained)[1]))
+        score = likeliest(text[a:b] if k != "assign" else ASSIGN.match(text, a)[2], trained)[1]
+        found.append((k, a, b, score if score > -math.inf else None))
     named = lambda kind: kind if kind not in BASE else f"{kind}_like"
-    apart: list[list[int]] = []  # the base spans, joined where they overlap
+    apart: list[list[int]] = []  # the base spans and digests, joined where they overlap
     for a, b in taken:
         if apart and a < apart[-1][1]:
             apart[-1][1] = max(apart[-1][1], b)
@@ -265,6 +327,8 @@ def scan(text: str, trained: dict[str, Automaton], least: float = LEAST_SCORE) -
             if score >= least:
                 found.append((named(kind), a, b, score))
                 continue
+            if encoded(text[a:b], trained):
+                continue
         stretches: list[list[tuple[int, int]]] = [[]]
         j = i
         for m in PART.finditer(text, a, b):
@@ -282,8 +346,10 @@ def scan(text: str, trained: dict[str, Automaton], least: float = LEAST_SCORE) -
 
 
 def find(df: DataFrame, text: str = "text", into: str = "secrets", least: float = LEAST_SCORE) -> DataFrame:
-    """Adds an array column `into` of struct kind, start, end, score by start, then kind. Null and empty texts have no
-    spans. The automata are trained where the job is planned, from a fixed seed, and sent along (a few dozen states)."""
+    """Adds an array column `into` of struct kind, start, end, score by start, then kind; a column of that name is
+    replaced. score is null for base spans of a length that no format has. Null and empty texts have no spans; others are
+    read whole whatever their length, in time in proportion to it; repeated rows get the same spans, an empty table gives
+    no rows. The automata are trained where the job is planned, from a fixed seed, and sent along (a few dozen states)."""
     trained = models()
 
     @F.arrow_udf("array<struct<kind:string,start:int,end:int,score:double>>")
