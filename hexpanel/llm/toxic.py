@@ -1,7 +1,7 @@
 """Toxicity by a classifier chain.
 
 Linear models predict the categories one after another; each later model also sees the earlier categories'
-probabilities, in training those that models fitted without the document (out of fold) give it. Features are words and
+probabilities, in training those that models made without the document (out of fold) give it. Features are words and
 their beginnings, chosen by how much more often toxic documents have them, each a yes or no for the whole text, and
 another whether the text has it more than once.
 """
@@ -19,10 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hexpanel.llm._util import fresh
+
 WORD = re.compile(r"[^\W\d_]+")
 #: Parameters: documents of the training sample by label, features, beginnings, folds,
 #: penalty, and how many missed toxic documents a clean one that is rejected weighs when the threshold is set.
 TOXIC_ROWS, CLEAN_ROWS, FEATURES, STEMS, FOLDS, PENALTY, CLEAN_COST = 1500, 3500, 1000, (3, 4, 5, 6), 4, 0.02, 4.0
+#: Bytes of text that the training sample may have in all.
+SAMPLE_BYTES = 48 << 20
 #: The categories in the order of the chain: a toxic word at all, toxic words again and again, the label itself.
 CATEGORIES = ("lexical", "severe", "toxic")
 
@@ -73,66 +77,94 @@ class Chain:
         return out
 
 
+class _Bags:
+    """The words of the sample as numbers: the driver holds a few small arrays a document. Feature 2 p is piece p, 2 p + 1
+    piece p more than once."""
+
+    def __init__(self, texts: list[str]):
+        number: dict[str, int] = {}
+        piece: dict[str, int] = {}
+        self.names: list[str] = []
+        self.own: list[tuple[int, ...]] = []  # the pieces of each word
+        self.words, self.counts, self.features = [], [], []
+        for t in texts:
+            counted = words(t)
+            n: dict[int, int] = {}
+            for w, k in counted.items():
+                if w not in number:
+                    number[w] = len(self.own)
+                    for p in pieces(w):
+                        if p not in piece:
+                            piece[p] = len(self.names)
+                            self.names.append(p)
+                    self.own.append(tuple(piece[p] for p in pieces(w)))
+                for p in self.own[number[w]]:
+                    n[p] = n.get(p, 0) + k
+            self.words.append(np.array([number[w] for w in counted], np.int32))
+            self.counts.append(np.array(list(counted.values()), np.int32))
+            self.features.append(np.array([*(2 * p for p in n), *(2 * p + 1 for p, k in n.items() if k > 1)], np.int32))
+
+    def name(self, f: int) -> str:
+        return twice(self.names[f // 2]) if f % 2 else self.names[f // 2]
+
+    def with_features(self, rows: np.ndarray) -> np.ndarray:
+        """In how many of the rows each feature is."""
+        return np.bincount(np.concatenate([np.empty(0, np.int32), *(self.features[i] for i in rows)]), minlength=2 * len(self.names))
+
+    def select(self, rows: np.ndarray, y: np.ndarray) -> tuple[list[int], np.ndarray]:
+        """From the rows alone: the features of largest gain, and the categories of all documents by the words that mark
+        toxic rows (one row a category)."""
+        with_, without = self.with_features(rows[y[rows] > 0]), self.with_features(rows[y[rows] == 0])
+        n, m = max(1, int(y[rows].sum())), max(1, int((1 - y[rows]).sum()))
+        gain = {}
+        for f in np.flatnonzero((with_ >= 3) | (without >= 3)).tolist():
+            k, j = int(with_[f]), int(without[f])
+            told = math.log((k + 0.5) / n) - math.log((j + 0.5) / m)
+            gain[f] = k / n * told if k >= 3 else j / m * -told / 20
+        chosen = sorted(gain, key=lambda f: (-gain[f], self.name(f)))[:FEATURES]
+        term = ((with_ >= 3) & (without == 0))[::2]
+        marked = np.array([any(term[p] for p in ps) for ps in self.own], bool)
+        mentions = np.array([int(k[marked[w]].sum()) if len(w) else 0 for w, k in zip(self.words, self.counts, strict=True)])
+        return chosen, np.array([y * (mentions > 0), y * (mentions >= 3), y])
+
+    def matrix(self, chosen: list[int]) -> np.ndarray:
+        column = np.full(2 * len(self.names), -1)
+        column[chosen] = np.arange(len(chosen))
+        x = np.zeros((len(self.features), len(chosen)), np.float32)
+        for i, f in enumerate(self.features):
+            at = column[f]
+            x[i, at[at >= 0]] = 1
+        return x
+
+
 def train(texts: list[str], toxic: list[int]) -> Chain:
-    """Fits the chain. lexical: toxic, with a word that at least three toxic and no clean document of the sample has, or
-    a beginning like that; severe: lexical with three or more such words; toxic: the label."""
+    """Fits the chain. The categories are degrees of the one label that the tables have: lexical: toxic, with a word that at
+    least three toxic and no clean documents have, or a beginning like that; severe: lexical with three or more such words;
+    toxic: the label. Out of fold means wholly so: features, marking words, categories and weights behind a document's
+    probabilities, which the later models and the threshold are fitted on, come from the other folds alone."""
     y = np.asarray(toxic, np.float64)
-    # words and pieces are numbers here: the driver holds two small arrays a document; feature 2 p is piece p, 2 p + 1 twice it
-    number: dict[str, int] = {}
-    names: list[str] = []
-    piece: dict[str, int] = {}
-    own: list[tuple[int, ...]] = []
-    bags, found = [], []
-    for t in texts:
-        counted = words(t)
-        n: dict[int, int] = {}
-        for w, k in counted.items():
-            if w not in number:
-                number[w] = len(own)
-                for p in pieces(w):
-                    if p not in piece:
-                        piece[p] = len(names)
-                        names.append(p)
-                own.append(tuple(piece[p] for p in pieces(w)))
-            for p in own[number[w]]:
-                n[p] = n.get(p, 0) + k
-        bags.append((np.array([number[w] for w in counted], np.int32), np.array(list(counted.values()), np.int32)))
-        found.append(np.array([*(2 * p for p in n), *(2 * p + 1 for p, k in n.items() if k > 1)], np.int32))
-    none = np.empty(0, np.int32)
-    with_, without = (np.bincount(np.concatenate([none, *(f for f, t in zip(found, toxic, strict=True) if bool(t) == side)]), minlength=2 * len(names)) for side in (True, False))
-    n, m = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    name = lambda f: twice(names[f // 2]) if f % 2 else names[f // 2]
-    gain = {}
-    for f in np.flatnonzero((with_ >= 3) | (without >= 3)).tolist():
-        k, j = int(with_[f]), int(without[f])
-        told = math.log((k + 0.5) / n) - math.log((j + 0.5) / m)
-        gain[f] = k / n * told if k >= 3 else j / m * -told / 20
-    chosen = sorted(gain, key=lambda f: (-gain[f], name(f)))[:FEATURES]
-    vocabulary = {name(f): i for i, f in enumerate(chosen)}
-    column = np.full(2 * len(names), -1)
-    column[chosen] = np.arange(len(chosen))
-    x = np.zeros((len(texts), len(chosen)), np.float32)
-    for i, f in enumerate(found):
-        at = column[f]
-        x[i, at[at >= 0]] = 1
-    term = ((with_ >= 3) & (without == 0))[::2]
-    toxic_word = np.array([any(term[p] for p in ps) for ps in own], bool)
-    mentions = np.array([int(k[toxic_word[w]].sum()) if len(w) else 0 for w, k in bags])
-    labels = [y * (mentions > 0), y * (mentions >= 3), y]
-    fold = np.arange(len(y)) % FOLDS
-    extra, weights = np.empty((len(y), 0), np.float32), []
-    for label in labels:
-        seen = np.hstack([x, extra])
-        weights.append(logistic(seen, label))
-        outside = np.empty(len(y))
-        for k in range(FOLDS):
-            w = logistic(seen[fold != k], label[fold != k])
-            outside[fold == k] = 1 / (1 + np.exp(-np.clip(seen[fold == k] @ w[:-1] + w[-1], -30, 30)))
-        extra = np.hstack([extra, outside[:, None].astype(np.float32)])
-    steps = np.linspace(0.05, 0.95, 91)
-    cost = np.array([(outside[y > 0] < t).sum() + CLEAN_COST * (outside[y == 0] >= t).sum() for t in steps])
+    bags, every = _Bags(texts), np.arange(len(y))
+    fold = every % FOLDS
+    outside = np.zeros((len(y), len(CATEGORIES)), np.float32)
+    parts = []
+    for k in range(FOLDS):
+        rest = every[fold != k]
+        chosen, labels = bags.select(rest, y)
+        parts.append((rest, every[fold == k], bags.matrix(chosen), labels))
+    for c in range(len(CATEGORIES)):
+        predicted = np.zeros(len(y), np.float32)
+        for rest, held, x, labels in parts:
+            w = logistic(np.hstack([x[rest], outside[rest, :c]]), labels[c][rest])
+            predicted[held] = 1 / (1 + np.exp(-np.clip(np.hstack([x[held], outside[held, :c]]) @ w[:-1] + w[-1], -30, 30)))
+        outside[:, c] = predicted
+    del parts
+    chosen, labels = bags.select(every, y)
+    x = bags.matrix(chosen)
+    weights = [logistic(np.hstack([x, outside[:, :c]]), labels[c]) for c in range(len(CATEGORIES))]
+    steps, last = np.linspace(0.05, 0.95, 91), outside[:, -1]
+    cost = np.array([(last[y > 0] < t).sum() + CLEAN_COST * (last[y == 0] >= t).sum() for t in steps])
     best = np.flatnonzero(cost == cost.min())
-    return Chain(vocabulary, weights, float(steps[best[len(best) // 2]]))
+    return Chain({bags.name(f): i for i, f in enumerate(chosen)}, weights, float(steps[best[len(best) // 2]]))
 
 
 class Scorer:
@@ -167,32 +199,64 @@ class Scorer:
 
 
 def sample(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic") -> list[tuple[str, int]]:
-    """Training rows: at most TOXIC_ROWS and CLEAN_ROWS labelled documents, those of lowest hash."""
-    some = labels.where(labels[toxic].isNotNull() & labels[key].isNotNull()).select(F.col(key).alias("k"), (F.col(toxic) > 0).cast("int").alias("y")).distinct()
+    """Training rows: at most TOXIC_ROWS and CLEAN_ROWS labelled documents, those of lowest hash, and of these, in that
+    order, as many as have SAMPLE_BYTES together; one that would pass the bound is left out. A key that labels contradict
+    is toxic; of rows that repeat a key the text of least digest counts. Only sizes come to the driver before the texts."""
+    some = labels.where(labels[toxic].isNotNull() & labels[key].isNotNull()).groupBy(labels[key].alias("k")).agg(F.max((labels[toxic] > 0).cast("int")).alias("y"))
     order = [F.xxhash64("k"), F.col("k")]
     few = some.where("y = 1").orderBy(*order).limit(TOXIC_ROWS).union(some.where("y = 0").orderBy(*order).limit(CLEAN_ROWS))
-    got = df.select(df[key].alias("k"), F.coalesce(df[text].cast("string"), F.lit("")).alias("t")).join(F.broadcast(few), "k")
-    return [(r["t"], r["y"]) for r in sorted(got.toLocalIterator(), key=lambda r: (r["k"], r["y"], r["t"]))]
+    few = F.broadcast(few)  # TOXIC_ROWS + CLEAN_ROWS rows
+    got = df.select(df[key].alias("k"), F.coalesce(df[text].cast("string"), F.lit("")).alias("t")).join(few, "k").withColumn("d", F.sha2("t", 256))
+    sized = got.groupBy("k", "y").agg(F.min(F.struct("d", F.octet_length("t").alias("n"))).alias("m")).select("k", "y", "m.d", "m.n", F.xxhash64("k").alias("h")).collect()
+    left, chosen = SAMPLE_BYTES, []
+    for r in sorted(sized, key=lambda r: (r["h"], r["k"])):
+        if r["n"] <= left:
+            left -= r["n"]
+            chosen.append((r["k"], r["d"]))
+    if not chosen:
+        return []
+    kind = df.schema[key].dataType.simpleString()
+    texts = got.join(F.broadcast(df.sparkSession.createDataFrame(chosen, f"k {kind}, d string")), ["k", "d"]).dropDuplicates(["k"]).select("k", "y", "t")
+    return [(r["t"], r["y"]) for r in sorted(texts.toLocalIterator(), key=lambda r: r["k"])]
 
 
-def judge(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float | None = None) -> DataFrame:
-    """Adds p_lexical, p_severe, p_toxic and toxic (p_toxic >= threshold, by default the chain's own) to df's
-    rows; columns of those names are replaced. Trained on the bounded sample of `sample`; without a toxic and a clean labelled document in df nothing is
-    toxic and probabilities are 0. Null and empty texts are scored as texts without words."""
+def _judged(df: DataFrame, labels: DataFrame, key: str, text: str, threshold: float | None, into: str) -> DataFrame | None:
+    """df with a struct column `into` of the categories' probabilities and said, the verdict; None without a sample."""
     rows = sample(df, labels, key, text)
-    out = df.drop(*(f"p_{c}" for c in CATEGORIES), "toxic")
     if len({y for _, y in rows}) < 2:
-        return out.withColumns({f"p_{c}": F.lit(0.0) for c in CATEGORIES} | {"toxic": F.lit(False)})
+        return None
     chain = train([t for t, _ in rows], [y for _, y in rows])
-    threshold = chain.threshold if threshold is None else threshold
+    del rows
+    least = chain.threshold if threshold is None else threshold
     shared = df.sparkSession.sparkContext.broadcast(chain)
 
-    @F.arrow_udf("struct<" + ",".join(f"{c}:double" for c in CATEGORIES) + ">")
+    @F.arrow_udf("struct<" + ",".join(f"{c}:double" for c in CATEGORIES) + ",said:boolean>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(shared.value)
         for batch in batches:
             p = scorer.score([t or "" for t in batch.to_pylist()])
-            yield pa.StructArray.from_arrays([pa.array(p[:, i]) for i in range(len(CATEGORIES))], list(CATEGORIES))
+            yield pa.StructArray.from_arrays([*(pa.array(p[:, i]) for i in range(len(CATEGORIES))), pa.array(p[:, -1] >= least)], [*CATEGORIES, "said"])
+
+    return df.withColumn(into, run(df[text].cast("string")))
+
+
+def judge(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float | None = None) -> DataFrame:
+    """Adds p_lexical, p_severe, p_toxic and toxic (p_toxic >= threshold, by default the chain's own) to df's rows; columns
+    of those names are replaced, all others stay whatever their names. Trained on the bounded sample of `sample`; without
+    a toxic and a clean labelled document in df nothing is toxic and probabilities are 0. Null and empty texts are scored
+    as texts without words, others whole whatever their length; repeated rows get one verdict; an empty table gives no
+    rows."""
+    (p,) = fresh(df, "p")
+    names = {f"p_{c}" for c in CATEGORIES} | {"toxic"}
+    own = [F.col(f"`{c}`") for c in df.columns if c.lower() not in names]
+    out = _judged(df, labels, key, text, threshold, p)
+    if out is None:
+        return df.select(*own, *(F.lit(0.0).alias(f"p_{c}") for c in CATEGORIES), F.lit(False).alias("toxic"))
+    return out.select(*own, *(F.col(f"{p}.{c}").alias(f"p_{c}") for c in CATEGORIES), F.col(f"{p}.said").alias("toxic"))
+
 
-    scored = out.withColumn("_p", run(out[text].cast("string")))
-    return scored.withColumns({f"p_{c}": F.col(f"_p.{c}") for c in CATEGORIES}).withColumn("toxic", F.col("p_toxic") >= threshold).drop("_p")
+def passed(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float | None = None) -> DataFrame:
+    """The rows of df that the chain doesn't call toxic, with the columns of df, whatever their names."""
+    (p,) = fresh(df, "p")
+    out = _judged(df, labels, key, text, threshold, p)
+    return df if out is None else out.where(~F.col(f"{p}.said")).drop(p)
