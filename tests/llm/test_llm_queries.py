@@ -102,3 +102,61 @@ def test_exact_dedup_keeps_one_row_of_each_text(spark):
     out = sorted((x["text"] or "", x["doc_id"], x["lang"], x["source"]) for x in corpus_pipeline.exact_dedup(spark, df, SF).collect())
     assert out == [("", 5, "en", "s"), ("a", 2, "en", "s"), ("b", None, "de", "s"), ("c", 3, "en", "s"), ("d", 4, "en", "s"), ("e", 6, "en", "s"), ("f", None, None, None)]
     assert corpus_pipeline.exact_dedup(spark, df, SF).columns == df.columns
+
+
+def test_near_dedup_loses_no_text_of_a_repeated_key(spark):
+    a = "the river rose by two metres on a long and rainy night in the lower town near the old bridge"
+    rows = [(3, a), (5, a + " x"), (5, "quite different words that nothing else in this table has at all"), (6, a.upper()), (6, "one more text that has a key of its own twice"), (None, a)]
+    df = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for c in ("_id", "key", "sha", "_sha", "n", "kept", "group", "rep"):
+        df = df.withColumn(c, F.lit("mine"))
+    out = corpus_pipeline.near_dedup(spark, df, SF)
+    assert out.columns == df.columns
+    assert sorted((str(x["doc_id"]), x["text"]) for x in out.collect()) == sorted([("3", a), ("5", rows[2][1]), ("6", rows[4][1]), ("None", a)])
+    twice = spark.createDataFrame([(3, a, "en", "s", 1), (3, a.upper(), "en", "s", 1), (4, a + " x", "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert corpus_pipeline.near_dedup(spark, twice, SF).count() == 1
+    exact = corpus_pipeline.exact_dedup(spark, df.unionByName(df), SF)
+    assert exact.columns == df.columns and exact.count() == len({t for _, t in rows})
+
+
+def test_op1_digests_equal_the_library(spark):
+    with open(queries.ranks_path(), "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    codec = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    out = {x["doc_id"]: x for x in queries.op1_bpe(spark, SF).collect()}
+    texts = {x["doc_id"]: x["text"] or "" for x in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert out.keys() == texts.keys()
+    for i, text in texts.items():
+        ids = codec.encode_ordinary(text)
+        assert (out[i]["n_tokens"], out[i]["ids_sha256"], out[i]["decoded_sha256"]) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_op2_digests_equal_the_stated_patterns(spark):
+    keyed = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in "password") + "|" + "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in ("passwd", "secret", "token"))
+    patterns = {"assign": (rf"""(?:{keyed}|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8), "access": ("(AKIA[A-Z0-9]+)", 16), "hex": ("([0-9a-f]+)", 32)}
+    out = {x["doc_id"]: x for x in queries.op2_secrets(spark, SF).collect()}
+    texts = {x["doc_id"]: x["text"] or "" for x in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert out.keys() == texts.keys()
+    for i, text in texts.items():
+        spans = sorted((m.start(), n, k, m.end()) for n, (k, (p, least)) in enumerate(patterns.items()) for m in re.finditer(p, text) if len(m[1]) >= least)
+        listed = [f"{k}:{a}:{b}" for a, _, k, b in spans]
+        assert out[i]["base_sha256"] == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        assert [out[i][f"n_{k}"] for k in patterns] == [sum(x.startswith(k) for x in listed) for k in patterns]
+        assert set(listed) <= set(out[i]["spans"].split(","))
+
+
+def test_op8_and_its_sql_follow_chains_of_aliases(spark, tmp_path):
+    """The given pages declare no aliases; on these both must pass decisions along canonical links and redirects."""
+    link, move = '<link rel="canonical" href="{}">', "<meta http-equiv=refresh content='0; url={}'>"
+    pages = [
+        ("http://m.test/a", link.format("/b")), ("http://m.test/b", move.format("http://M.test/c#x")), ("http://m.test/c", link.format("//shop.com/en/")),  # a chain that ends at a blocked address
+        ("http://n.test/a", move.format("http://x.org/es/1")), ("http://n.test/b", link.format("http://n.test/a")), ("http://n.test/c", link.format("http://n.test/b") + move.format("https://net/de/1")),  # blocked and allowed
+        ("http://o.test/a", "<!-- " + link.format("http://shop.com/en/") + " -->canonical"), ("http://o.test/x/b", "<link title='a>b' rel='canonical' href='c'>"), ("http://o.test/x/c", link.format("http://net/de/2")),
+        ("http://net/de/own", link.format("http://shop.com/en/own")), ("http://p.test/", link.format("mailto:a@shop.com")), (None, link.format("http://shop.com/en/x")), ("no scheme", None), ("http://shop.com/en/", None),
+    ]
+    spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    mine = sorted(tuple(x) for x in queries.op8_urls(spark, str(tmp_path)).select("page_id", "host", "path", "rule", "verdict").collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert mine == sorted(con.execute(f"SELECT page_id, host, path, rule, verdict FROM ({queries.ORACLES['op8_urls']})").fetchall())
+    assert [x[4] for x in mine] == ["block"] * 3 + ["allow"] * 3 + ["allow", "allow", "allow"] + ["allow", "allow", "allow", "allow", "block"]
