@@ -2,53 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexpanel.llm import bpe, exact, minhash, mix, toxic
-from hexpanel.llm._util import cut
+from hexpanel.llm._util import clear, cut, fresh, mark
 from hexpanel.llm.queries import ranks_path
 
 NEAR_WORDS, NEAR_PERCENT, NEAR_TREES = 5, 80, 10
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain doesn't reject."""
+    """Documents that the classifier chain doesn't reject. Null and empty texts are texts without words; repeated rows get
+    one verdict; without labels of both kinds among them, and for an empty table, nothing is rejected. Other columns may
+    have any name, those of the verdict too."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxic.judge(docs, labels).where(~F.col("toxic")).select(*docs.columns)
+    return toxic.passed(docs, labels)
+
+
+def _sha(docs: DataFrame) -> Column:
+    return exact.sha256(F.coalesce(docs["text"].cast("string"), F.lit("")))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exactly one document of each text: that of largest doc_id, a null one only where all are null; of rows that repeat both doc_id and
-    text, the least by all columns. Rejected rows are found by doc_id (null-safely) and digest, so documents are
-    shuffled again only where the rejected are too many to broadcast."""
-    found = exact.find(docs).where("group_size > 1").select(F.col("doc_id").alias("_id"), "kept", F.col("text_sha256").alias("_sha"))
-    copies = cut(found.groupBy("_id", "kept", "_sha").agg(F.count("*").alias("n")), "copies")
-    sha = exact.sha256(F.coalesce(docs["text"], F.lit("")))
-    among = docs["doc_id"].eqNullSafe(F.col("_id")) & (sha == F.col("_sha"))
-    tied = copies.where("kept and n > 1")
+    text, the least by all columns. Null texts count as empty; an empty table gives no rows; other columns may have any
+    name. Rejected rows are found by doc_id (null-safely) and digest, so documents are shuffled again only where the
+    rejected are too many to broadcast."""
+    key, sha = fresh(docs, "key", "sha")
+    found = exact.find(docs).where("group_size > 1").select(F.col("doc_id").alias(key), "kept", F.col("text_sha256").alias(sha))
+    copies = cut(found.groupBy(key, "kept", sha).agg(F.count("*").alias("n")), "copies")
+    among = docs["doc_id"].eqNullSafe(F.col(key)) & (_sha(docs) == F.col(sha))
+    chosen = lambda which: copies.where(which).select(key, sha)
+    tied = chosen("kept and n > 1")
     if tied.isEmpty():
-        return docs.join(copies.where("not kept"), among, "left_anti")
-    rest = docs.join(copies.where("not kept or n > 1"), among, "left_anti")
-    row = F.struct(*(F.col(c) for c in docs.columns))
-    one = docs.join(tied, among, "left_semi").groupBy("doc_id", exact.sha256(F.coalesce("text", F.lit(""))).alias("_sha")).agg(F.min(row).alias("_row"))
-    return rest.unionByName(one.select("_row.*"))
+        return docs.join(chosen("not kept"), among, "left_anti")
+    rest = docs.join(chosen("not kept or n > 1"), among, "left_anti")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    one = docs.join(tied, among, "left_semi").groupBy("doc_id", _sha(docs)).agg(F.min(row).alias("row"))
+    return rest.unionByName(one.select("row.*"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that of least doc_id; documents without a doc_id stay."""
-    found = minhash.link(docs, size=NEAR_WORDS, percent=NEAR_PERCENT, trees=NEAR_TREES)
-    gone = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_id"))
-    return docs.join(gone, docs["doc_id"] == F.col("_id"), "left_anti")
+    """One document of each group of near copies, that of least doc_id; where that doc_id comes with several texts of the
+    group, the one of least digest. Documents without a doc_id, and those without words, link with nothing and stay. Rows
+    are rejected by doc_id and digest, so a text goes only if it is a near copy itself. An empty table gives no rows;
+    other columns may have any name."""
+    key, sha = fresh(docs, "key", "sha")
+    found = minhash.link(docs, size=NEAR_WORDS, percent=NEAR_PERCENT, trees=NEAR_TREES, detail=True)
+    kept = found.where("kept and group is not null")
+    tied = kept.groupBy("group").agg(F.min("text_sha256").alias("least"), F.max("text_sha256").alias("most")).where("least != most").select("group", "least")
+    lost = kept.join(tied, "group").where("text_sha256 != least").select("doc_id", "text_sha256")
+    gone = found.where("not kept and doc_id is not null").select("doc_id", "text_sha256").union(lost).toDF(key, sha)
+    return docs.join(cut(gone.distinct(), "gone"), (docs["doc_id"] == F.col(key)) & (_sha(docs) == F.col(sha)), "left_anti")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them: nulls, ties, repeated rows and empty tables as `mix.take` states."""
     return mix.take(docs)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with the digest of what they decode to."""
+    """Token ids of every document, with the digest of what they decode to. Null and empty texts have no ids; repeated
+    rows are encoded each; an empty table gives no rows."""
     coded = bpe.encode(docs, ranks_path()).select("doc_id", "source", F.col("encoded.ids").alias("ids"))
     return bpe.decode(coded, ranks_path()).select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -60,7 +76,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. What a stage has written on its way goes when its result is written, and that when the
+    next one's is."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), name)
+        since, before = mark(), docs
+        docs = cut(stage(spark, before, sf_dir), name)
+        clear(since, (name,))
     return STAGES[-1][1](spark, docs, sf_dir)
