@@ -22,7 +22,7 @@ FEW = 1 << 17  # edges of which one task holds all: some ten megabytes
 
 
 def _solve(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """u, p of all edges a, b: p is one node of u's component."""
+    """u, p of all edges a, b: p is the least node of u's component (bytes, numbers and text in Spark's order)."""
     root: dict = {}
     kind = pa.binary()
 
@@ -52,7 +52,10 @@ def components(edges: DataFrame, a: str, b: str, few: int = 0) -> DataFrame:
     while n := live.count():
         if n <= few:
             kind = live.schema["a"].dataType.simpleString()
-            pointers.append(cut(live.coalesce(1).mapInArrow(_solve, f"u {kind}, p {kind}"), "pointers"))
+            solved = live.coalesce(1).mapInArrow(_solve, f"u {kind}, p {kind}")
+            if not pointers:
+                return cut(solved.toDF("node", "component"), "components")
+            pointers.append(cut(solved, "pointers"))
             break
         both = live.select(F.col("a").alias("u"), F.col("b").alias("v")).union(live.select("b", "a"))
         best = both.groupBy("u").agg(F.min(F.struct(F.xxhash64("v").alias("h"), F.col("v"))).alias("m"))

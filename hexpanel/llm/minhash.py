@@ -248,19 +248,25 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, pe
     return cut(rows.mapInArrow(run, "a binary, b binary, ok boolean").distinct(), "confirmed")
 
 
-def _grown(classes: DataFrame, edges: list[DataFrame]) -> DataFrame:
-    """classes with comp, the least id that the edges reach."""
+def _grown(edges: list[DataFrame]) -> DataFrame:
+    """id, comp: the least id that the edges reach, of every id that an edge touches."""
     every = edges[0]
     for e in edges[1:]:
         every = every.union(e)
-    found = components(every, "a", "b", FEW).toDF("id", "_c")
-    return cut(classes.drop("comp").join(found, "id", "left").withColumn("comp", F.coalesce("_c", "id")).drop("_c"), "grown")
+    return components(every, "a", "b", FEW).toDF("id", "comp")
 
 
-@tidy("sketches", "grown")
+def _placed(df: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """df with the comp of each id, itself where no edge touches it."""
+    if comps is None:
+        return df.withColumn("comp", F.col("id"))
+    return df.join(comps.toDF("id", "_c"), "id", "left").withColumn("comp", F.coalesce("_c", "id")).drop("_c")
+
+
+@tidy("classes", "components")
 def _components(rows: DataFrame, docs: DataFrame, size: int, percent: int, trees: int, depth: int, leaf: int) -> DataFrame:
     """id, rep, comp of every class of rows."""
-    classes = cut(rows.where("k is not null and id is not null").groupBy("id").agg(F.min("k").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")).withColumn("comp", F.col("id")), "classes")
+    classes = cut(rows.where("k is not null and id is not null").groupBy("id").agg(F.min("k").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
     least = next(m for m in range(SIGNATURE) if _tail(m, percent / 100) > 2e-5)
     r = random.Random(SEED)
     second = 100.0 / percent - 1
@@ -276,23 +282,23 @@ def _components(rows: DataFrame, docs: DataFrame, size: int, percent: int, trees
     ready = sized.where(F.col("size") <= leaf).select("node", "id")
     large = sized.where(F.col("size") > leaf).select("node", "id", "leaders")
     edges: list[DataFrame] = []
+    comps = None
     if not large.isEmpty():
         tried = cut(large.select(F.explode("leaders").alias("a"), F.col("id").alias("b")).where("a != b").distinct(), "tried")
         signed = tried.join(classes.select(F.col("id").alias("a"), F.col("sig").alias("x")), "a").join(classes.select(F.col("id").alias("b"), F.col("sig").alias("y")), "b")
         agree = F.aggregate(F.zip_with("x", "y", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
         edges.append(confirm(cut(signed.where(agree >= least).select("a", "b"), "alike"), classes, docs, size, percent).where("ok").select("a", "b"))
-        classes = _grown(classes, edges)
+        comps = _grown(edges)
+    met = ready.withColumn("gkey", F.xxhash64("node")).select("gkey", "id")
     level, at = large.select("node", "id"), 1
-    while True:
-        if level.isEmpty():
-            break
-        level = cut(level.join(classes.select("id", "comp"), "id"), "paths")
+    while not level.isEmpty():
+        level = cut(_placed(level, comps), "paths")
         sizes = cut(level.groupBy("node").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("node", "size"), "sizes")
         sized = cut(level.join(sizes, "node"), "nodes")
-        last = at == depth
-        ready = ready.union((sized if last else sized.where(F.col("size") <= leaf)).select("node", "id"))
-        if last:
+        if at == depth:
+            met = met.union(_dealt(sized.select("node", "id", "comp"), "node", leaf).select("gkey", "id"))
             break
+        met = met.union(sized.where(F.col("size") <= leaf).select(F.xxhash64("node").alias("gkey"), "id"))
         place = lambda salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(SIGNATURE)).cast("int")
         child = lambda salt: F.xxhash64("node", place(salt), F.element_at("sig", place(salt) + 1))
         both = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(10000)) < F.lit(int(second * 10000))
@@ -311,19 +317,19 @@ def _components(rows: DataFrame, docs: DataFrame, size: int, percent: int, trees
 
         return _groups(it, work)
 
-    met = _dealt(ready.join(classes.select("id", "comp"), "id"), "node", leaf).select("gkey", "id").join(classes.select("id", "comp", "sig"), "id")
+    met = _placed(met.join(classes.select("id", "sig"), "id"), comps)
     found = cut(_by_group(met).mapInArrow(possible, "a binary, b binary").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "possible")
     told = confirm(found, classes, docs, size, percent)
     edges.append(told.where("ok").select("a", "b"))
-    classes = _grown(classes, edges)
+    comps = _grown(edges)
 
     # what refuted pairs tie together, though it is not linked yet, is compared whole
-    comp = lambda end: classes.select(F.col("id").alias(end), F.col("comp").alias(f"c{end}"))
-    open_ = cut(told.where("not ok").join(comp("a"), "a").join(comp("b"), "b").where("ca != cb").select("ca", "cb").distinct(), "open")
-    if open_.isEmpty():
-        return classes
-    clusters = components(open_, "ca", "cb", FEW).toDF("comp", "cluster")
-    members = cut(_dealt(classes.join(clusters, "comp"), "cluster", leaf, "n").select("gkey", "id", "rep", "comp", "sig"), "members")
+    comp = lambda end: comps.toDF(end, f"c{end}")
+    ends = told.where("not ok").join(comp("a"), "a", "left").join(comp("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    clusters = components(ends, "a", "b", FEW).toDF("comp", "cluster")
+    if clusters.isEmpty():
+        return _placed(classes.select("id", "rep"), comps)
+    members = cut(_dealt(_placed(classes, comps).join(clusters, "comp"), "cluster", leaf, "n").select("gkey", "id", "rep", "comp", "sig"), "members")
 
     def across(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(t: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -368,7 +374,7 @@ def _components(rows: DataFrame, docs: DataFrame, size: int, percent: int, trees
     whole = docs.select(F.col("k").alias("rep"), "t")
     texts = tight.join(members, ["gkey", "id"]).join(whole, "rep").select("gkey", "id", "comp", "sig", "t")
     edges.append(cut(_by_group(texts).mapInArrow(on_sets, "a binary, b binary"), "linked"))
-    return _grown(classes, edges)
+    return _placed(classes.select("id", "rep"), _grown(edges))
 
 
 def link(df: DataFrame, text: str = "text", key: str = "doc_id", size: int = SHINGLE, percent: int = PERCENT, trees: int = TREES, depth: int = DEPTH, leaf: int = LEAF, detail: bool = False) -> DataFrame:

@@ -584,7 +584,7 @@ def test_what_operators_write_is_removed(spark):
     before = set(glob.glob(f"{folder}/*"))
     minhash.link(docs(spark, ["a b c d e", "a b c d e", "x"]))
     left = sorted(x.rsplit("/", 1)[1].split("-")[1] for x in set(glob.glob(f"{folder}/*")) - before)
-    assert left == ["grown", "sketches"]  # what the result still reads
+    assert set(left) == {"classes", "components", "sketches"}  # what the result still reads
 
 
 def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
