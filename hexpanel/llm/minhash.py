@@ -216,7 +216,8 @@ def _dealt(df: DataFrame, key: str, leaf: int, weight: str | None = None) -> Dat
 def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """a, b, ok: whether the full sets of two classes are linked. Pairs that share a are dealt to groups of STAR; a group
     gets the text of a once and then those of its b, of which a task holds one set at a time."""
-    counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(STAR)).alias("parts"))
+    # written, so that adaptive execution can split the join at a class that many pairs share
+    counts = cut(pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(STAR)).alias("parts")), "counts")
     dealt = pairs.join(counts, "a").select(F.xxhash64("a", F.pmod(F.xxhash64("b", F.lit(5)), F.col("parts"))).alias("gkey"), "a", "b")
     needed = dealt.select("gkey", F.col("a").alias("id"), F.lit(0).alias("role")).distinct().union(dealt.select("gkey", "b", F.lit(1)))
     named = needed.join(classes.select("id", "rep"), "id")
