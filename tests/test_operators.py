@@ -121,6 +121,39 @@ def test_discovery():
     assert [discovery.unit_code(x) for x in ("281701_1", "2814014", "2862011", "20170303_2802_1", "BDOT_4000003", "2814019")] == ["281701_1", "281401_4", "286201_1", None, None, None]
 
 
+def test_unit_codes_of_texts_and_columns_agree(spark):
+    names = ["281701_1", "x281501_2y", "100201_3", "2814014", "2862011", "20170303_2802_1", "BDOT_4000003", "2814019", "281701_12", "9281701_1", "a_281701_1_b_2814014", "2814014_281701_1", "281701-1", "", "_", "28140141"]
+    got = spark.createDataFrame([(x,) for x in names], "c string").select("c", codes.unit_code(F.col("c")).alias("u")).collect()
+    assert {r["c"]: r["u"] for r in got} == {x: discovery.unit_code(x) for x in names}
+    assert [discovery.unit_code(x) for x in ("281701_12", "9281701_1", "a_281701_1_b", "28140141")] == [None, None, "281701_1", None]
+
+
+def test_deliveries(spark):
+    paths = ["/d/rok_2020/281701_1.gml", "/d/rok_2020/281701_1.shp", "/d/year=2021/u_2814014/x.GDB/a0001.gdbtable", "/d/year=2021/u_2814014/x.GDB/a0002.gdbtable", "/d/rok_2020/all.gml", "/d/rok_2020/known.gml", "/d/rok_2020/notes.txt", "/d/rok_2020/281701_2.swd"]
+    listed = discovery.listing(spark.createDataFrame([(p,) for p in paths], "path string"))
+    got = {r["path"]: (r["format"], r["unit"], r["year"]) for r in listed.collect()}
+    assert got == {"/d/rok_2020/281701_1.gml": ("gml", "281701_1", 2020), "/d/rok_2020/281701_1.shp": ("shp", "281701_1", 2020), "/d/year=2021/u_2814014/x.GDB": ("gdb", "281401_4", 2021), "/d/rok_2020/all.gml": ("gml", None, 2020), "/d/rok_2020/known.gml": ("gml", None, 2020), "/d/rok_2020/281701_2.swd": ("swde", "281701_2", 2020)}
+    inside = spark.createDataFrame([("/d/rok_2020/all.gml", c) for c in ("281701_1", "281799_1", "junk", "2814014")] + [("/d/rok_2020/known.gml", c) for c in ("281701_1", "281701_2")], "path string, code string")
+    assert {(r["unit"], r["path"]) for r in discovery.deliveries(listed, inside).where("unit like '%wspolny'").collect()} == {("2817_wspolny", "/d/rok_2020/all.gml")}
+    held = [("u", "gml", "b", "L1"), ("u", "gml", "a", "L1"), ("u", "gml", "b", "L2"), ("u", "shp", "c", "L3"), ("v", "gml", "d", None), ("v", "swde", "f", "L1"), ("v", "swde", "e", "L2")]
+    out = discovery.chosen_layers(spark.createDataFrame(held, "unit string, format string, path string, layer string"))
+    assert {tuple(r) for r in out.collect()} == {("u", "gml", "L1", "a"), ("u", "gml", "L2", "b"), ("v", "swde", "L2", "e")}
+
+
+def test_layer_names(spark):
+    known = {"dzialki": ["DZE", "parcels"], "uzytki": ["KKL"]}
+    names = {"dzialki": "dzialki", "DZE": "dzialki", "dze": None, "dze_2024": "dzialki", "x_EGB_Dzialki": "dzialki", "x_egb_dzialki_3": "dzialki", "x_egb_dzialki_MultiPolygon": "dzialki", "x_egb_dzialki_3_polygon": "dzialki", "x_egb_dzialki_polygon_x": None, "egb_uzytki": None, "a_egb_uzytki": "uzytki", "KKL_20245": None, "": None}
+    assert {n: discovery.canonical(n, known) for n in names} == names
+    got = spark.createDataFrame([(n,) for n in names], "n string").select("n", discovery.canonical_column(F.col("n"), known).alias("c")).collect()
+    assert {r["n"]: r["c"] for r in got} == names
+
+
+def test_halves_round_as_scaled_doubles(spark):
+    values = [30.549999999999997, 0.125, 2.5, -2.5, 1.005, None]
+    out = spark.createDataFrame([(v,) for v in values], "v double").select(overlay.half_even(F.col("v"), 1).alias("a"), overlay.half_even(F.col("v"), 0).alias("b")).collect()
+    assert [r["a"] for r in out] == [30.6, 0.1, 2.5, -2.5, 1.0, None] and [r["b"] for r in out] == [31.0, 0.0, 2.0, -2.0, 1.0, None]
+
+
 def test_shapes(spark):
     lit = lambda *v: [F.lit(float(x)) for x in v]
     rows = spark.range(1).select(F.lit("a").alias("iddzialki"), F.lit(2020).alias("year"))
