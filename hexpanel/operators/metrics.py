@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hexpanel.operators import ranks
+
 
 def _steps(df: DataFrame, score: str, label: str) -> DataFrame:
-    """A row per distinct score, with its positives and rows and those at or above it. The running sums are over
-    distinct scores, which a model of few leaves or a rounded score keeps few."""
+    """A row per distinct score, with its positives and rows and those at or above it."""
     by = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).alias("s")).agg(F.sum(F.col(label).cast("double")).alias("p"), F.count("*").cast("double").alias("n"))
-    down = Window.orderBy(F.desc("s"))
-    return by.select("s", "p", "n", F.sum("p").over(down).alias("tp"), F.sum("n").over(down).alias("seen"))
+    return ranks.running(by, -F.col("s"), {"tp": F.col("p"), "seen": F.col("n")})
 
 
 def average_precision(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -22,11 +23,11 @@ def average_precision(df: DataFrame, score: str, label: str) -> DataFrame:
 
 
 def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Chance that a positive scores above a negative, ties counting half."""
-    neg = F.col("n") - F.col("p")
-    below = F.sum(neg).over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1))
-    parts = _steps(df, score, label).select("p", neg.alias("q"), F.coalesce(below, F.lit(0.0)).alias("b"))
-    return parts.agg(F.try_divide(F.sum(F.col("p") * (F.col("b") + F.col("q") / 2)), F.sum("p") * F.sum("q")).alias("roc_auc"))
+    """Chance that a positive scores above a negative, ties counting half: all pairs less those in which the negative is
+    at or above, and half of the ties."""
+    q = F.col("n") - F.col("p")
+    all_ = F.sum("p") * F.sum(q)
+    return _steps(df, score, label).agg(F.try_divide(all_ - F.sum(F.col("p") * (F.col("seen") - F.col("tp") - q / 2)), all_).alias("roc_auc"))
 
 
 def brier(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -36,7 +37,7 @@ def brier(df: DataFrame, score: str, label: str) -> DataFrame:
 def top_fraction(df: DataFrame, score: str, key: str, fraction: float) -> DataFrame:
     """The max(1, floor(fraction * n)) rows of highest score, ties by key."""
     n = max(1, int(fraction * df.count()))
-    return df.orderBy(F.desc(score), key).limit(n)
+    return ranks.numbered(df, -F.col(score).cast("double"), key, out="_place").where(F.col("_place") <= n).drop("_place")
 
 
 def lift_at_k(df: DataFrame, score: str, label: str, key: str, fraction: float = 0.1) -> DataFrame:
@@ -50,18 +51,17 @@ def lift_at_k(df: DataFrame, score: str, label: str, key: str, fraction: float =
 
 def calibration_bins(df: DataFrame, score: str, label: str, bins: int = 10) -> DataFrame:
     """Mean score and mean label of bins between linear quantiles, closed on the right, equal edges dropped."""
-    edges = df.agg(F.percentile(score, F.array(*(F.lit(i / bins) for i in range(bins + 1)))).alias("e")).select(F.array_distinct("e").alias("e"))
-    placed = df.crossJoin(F.broadcast(edges))  # one row of bins + 1 numbers
-    bin_ = F.greatest(F.size(F.filter("e", lambda x: x < F.col(score))) - 1, F.lit(0)).cast("long")
-    return placed.groupBy(bin_.alias("bin")).agg(F.avg(score).alias("mean_score"), F.avg(F.col(label).cast("double")).alias("mean_label"), F.count("*").alias("n"))
+    edges = F.array(*map(F.lit, dict.fromkeys(ranks.quantiles(df, score, [i / bins for i in range(bins + 1)])))).cast("array<double>")
+    bin_ = F.greatest(F.size(F.filter(edges, lambda x: x < F.col(score))) - 1, F.lit(0)).cast("long")
+    return df.groupBy(bin_.alias("bin")).agg(F.avg(score).alias("mean_score"), F.avg(F.col(label).cast("double")).alias("mean_label"), F.count("*").alias("n"))
 
 
 def benjamini_hochberg(df: DataFrame, p: str, key: str, alpha: float = 0.05) -> DataFrame:
     """df with significant: p at or under the largest p that is at most alpha * rank / n."""
-    m = F.count("*").over(Window.partitionBy(F.lit(1)))
-    ranked = df.withColumn("_r", F.row_number().over(Window.orderBy(p, key))).withColumn("_m", m)
-    cutoff = F.max(F.when(F.col(p) <= alpha * F.col("_r") / F.col("_m"), F.col("_r"))).over(Window.partitionBy(F.lit(1)))
-    return ranked.withColumn("significant", F.coalesce(F.col("_r") <= cutoff, F.lit(False))).drop("_r", "_m")
+    m = df.count()
+    ranked = ranks.numbered(df, F.col(p), key, out="_place")
+    cutoff = ranked.agg(F.max(F.when(F.col(p) <= alpha * F.col("_place") / m, F.col("_place")))).first()[0] if m else None
+    return ranked.withColumn("significant", F.col("_place") <= (cutoff or 0)).drop("_place")
 
 
 def permutation_significance(score_of, df: DataFrame, columns: Sequence[str], key: str, *, repeats: int = 20, seed: int = 42) -> list[dict]:
@@ -71,15 +71,14 @@ def permutation_significance(score_of, df: DataFrame, columns: Sequence[str], ke
     for c in columns:
         falls = []
         for i in range(repeats):
-            values = df.select(F.row_number().over(Window.orderBy(F.xxhash64(key, F.lit(seed + i)), key)).alias("_n"), F.col(c).alias("_v"))
-            rows = df.withColumn("_n", F.row_number().over(Window.orderBy(key)))
+            values = ranks.numbered(df.select(key, F.col(c).alias("_v")), F.xxhash64(key, F.lit(seed + i)), key, out="_n").select("_n", "_v")
+            rows = ranks.numbered(df, F.xxhash64(key, F.lit(seed - 1)), key, out="_n")
             falls.append(base - score_of(rows.join(values, "_n").drop(c, "_n").withColumnRenamed("_v", c)))
-        falls.sort()
-        at = lambda q: falls[min(len(falls) - 1, int(q * (len(falls) - 1) + 0.5))]
+        at = lambda q, falls=falls: float(np.percentile(falls, 100 * q))
         out.append({"feature": c, "mean": sum(falls) / repeats, "low": at(0.025), "high": at(0.975), "p": (1 + sum(x <= 0 for x in falls)) / (repeats + 1)})
     return out
 
 
 def sample_exact(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly n rows (all, if there are fewer), the same each time."""
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    return ranks.numbered(df, F.xxhash64(key, F.lit(seed)), key, out="_place").where(F.col("_place") <= n).drop("_place")

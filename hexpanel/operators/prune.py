@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from hexpanel.operators import ranks
+
 REPORT = "column string, reason string, detail string"
 
 
@@ -27,8 +29,8 @@ def unique_ratios(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def correlations(df: DataFrame, columns: Sequence[str], method: str = "pearson") -> DataFrame:
     """a, b, corr of every pair of columns over the rows where both are filled; ranks average ties for spearman."""
     if method == "spearman":
-        rank = lambda c: F.rank().over(Window.orderBy(c)) + (F.count("*").over(Window.partitionBy(c)) - 1) / 2
-        df = df.select(*(F.when(F.col(c).isNotNull(), rank(c)).cast("double").alias(c) for c in columns))
+        for c in columns:
+            df = ranks.average_rank(df, c, c)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
     both = lambda a, b: F.corr(F.when(F.col(b).isNotNull(), F.col(a).cast("double")), F.when(F.col(a).isNotNull(), F.col(b).cast("double")))
     rows = df.agg(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), both(a, b).alias("corr")) for a, b in pairs)).alias("x"))

@@ -168,14 +168,14 @@ def nbr_edges_ring(spark, sf):
     return neighbors.edges(_hexes(spark, sf), [1, 2, 3], rolling=False).withColumn("R", F.col("R").cast("long"))
 
 
-NBR = HEX + f""", {FRAG}, vals AS (SELECT CAST(hex_id % 10 AS VARCHAR) || '_' || CAST(hex_id // 10 AS VARCHAR) AS hex_id, year, round(avg(x), 2) AS v, min(brand) AS cat FROM frag WHERE (hex_id + year) % 5 <> 0 GROUP BY ALL)
+NBR = HEX + f""", {FRAG}, vals AS (SELECT CAST(hex_id % 10 AS VARCHAR) || '_' || CAST(hex_id // 10 AS VARCHAR) AS hex_id, year, round(avg(x), 2) AS v, min(brand) AS cat FROM frag GROUP BY ALL)
 , known AS (SELECT DISTINCT hex_id FROM vals)
 , links AS (SELECT cell, neighbor, d FROM tagged WHERE cell IN (SELECT hex_id FROM known) AND neighbor IN (SELECT hex_id FROM known))
 , fan AS (SELECT p.hex_id, p.year, l.neighbor, l.d, n.v, n.cat, n.hex_id IS NOT NULL AS here FROM vals p LEFT JOIN links l ON l.cell = p.hex_id LEFT JOIN vals n ON n.hex_id = l.neighbor AND n.year = p.year)"""
 
 
 def _nbr_panel(spark, sf):
-    f = fragments(spark, sf).where((F.col("hex_id") + F.col("year")) % 5 != 0)
+    f = fragments(spark, sf)
     cell = neighbors.cell_id(F.col("hex_id") % 10, F.floor(F.col("hex_id") / 10))
     return f.groupBy(cell.alias("hex_id"), "year").agg(F.round(F.avg("x"), 2).alias("v"), F.min("brand").alias("cat"))
 
@@ -226,11 +226,11 @@ def join_prefixed(spark, sf):
     return joins.join_prefixed(left, right, ["k", "year"], ["k", "tx_year"], prefix="tx_")
 
 
-@register("sequential_merge_coalesce", f"WITH {PANEL}, a AS (SELECT hex_id, year, coverage_area, CASE WHEN hex_id % 2 = 0 THEN 'a' END AS unit FROM panel), b AS (SELECT hex_id, year, n_parcel AS coverage_area, 'b' AS unit FROM panel WHERE year <> 1997) SELECT a.hex_id, a.year, a.coverage_area, coalesce(a.unit, b.unit) AS unit, b.coverage_area AS coverage_area__b FROM a LEFT JOIN b USING (hex_id, year)")
+@register("sequential_merge_coalesce", f"WITH {PANEL}, a AS (SELECT hex_id, year, coverage_area, CASE WHEN hex_id % 2 = 0 THEN 'a' END AS unit FROM panel), b AS (SELECT hex_id, year, n_parcel AS coverage_area, CASE WHEN year <> 1997 THEN 'b' END AS unit FROM panel) SELECT a.hex_id, a.year, a.coverage_area, coalesce(a.unit, b.unit) AS unit, b.coverage_area AS coverage_area__b FROM a LEFT JOIN b USING (hex_id, year)")
 def sequential_merge_coalesce(spark, sf):
     p = small_panel(spark, sf)
     a = p.select("hex_id", "year", "coverage_area", F.when(F.col("hex_id") % 2 == 0, "a").alias("unit"))
-    b = p.where("year <> 1997").select("hex_id", "year", F.col("n_parcel").alias("coverage_area"), F.lit("b").alias("unit"))
+    b = p.select("hex_id", "year", F.col("n_parcel").alias("coverage_area"), F.when(F.col("year") != 1997, "b").alias("unit"))
     return joins.merge_sequential({"a": a, "b": b}, unify=["unit"])
 
 
@@ -244,21 +244,22 @@ def assert_unique(spark, sf):
     return joins.assert_unique(table(spark, sf, "supplier").select("s_suppkey", "s_name"), ["s_suppkey"])
 
 
-@register("attach_labels", "WITH " + SPLIT + ", few AS (SELECT hex_id, year, split_proxy FROM proxied WHERE year % 2 = 0) SELECT panel.hex_id, panel.year, n_parcel, split_proxy FROM panel LEFT JOIN few USING (hex_id, year)")
+@register("attach_labels", "WITH " + SPLIT + " SELECT panel.hex_id, panel.year, panel.n_parcel, split_proxy FROM panel LEFT JOIN proxied USING (hex_id, year)")
 def attach_labels(spark, sf):
-    return joins.attach_labels(small_panel(spark, sf).select("hex_id", "year", "n_parcel"), _split(spark, sf).where("year % 2 = 0"), ["split_proxy"])
+    return joins.attach_labels(small_panel(spark, sf).select("hex_id", "year", "n_parcel"), _split(spark, sf), ["split_proxy"])
 
 
-@register("anti_join_units", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@register("anti_join_units", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders GROUP BY o_custkey HAVING count(*) > 10)")
 def anti_join_units(spark, sf):
     c, o = table(spark, sf, "customer"), table(spark, sf, "orders")
-    return c.join(o, c["c_custkey"] == o["o_custkey"], "left_anti").select("c_custkey")
+    busy = o.groupBy("o_custkey").agg(F.count("*").alias("n")).where("n > 10")
+    return c.join(busy, c["c_custkey"] == busy["o_custkey"], "left_anti").select("c_custkey")
 
 
-@register("mapping_join", """WITH m AS (SELECT upper(trim(p_type)) AS k, arg_min(p_brand, p_partkey) AS v FROM part WHERE p_partkey % 3 = 0 GROUP BY 1) SELECT p_partkey, coalesce(v, 'Brak') AS grp FROM part LEFT JOIN m ON k = upper(trim(p_type)) AND p_size > 25 OR k = 'none' AND p_size <= 25""")
+@register("mapping_join", """WITH m AS (SELECT upper(trim(p_type)) AS k, arg_min(p_brand, p_partkey) AS v FROM part GROUP BY 1) SELECT p_partkey, coalesce(v, 'Brak') AS grp FROM part LEFT JOIN m ON k = upper(trim(p_type)) AND p_size > 25 OR k = 'none' AND p_size <= 25""")
 def mapping_join(spark, sf):
     part = table(spark, sf, "part")
-    mapping = part.where("p_partkey % 3 = 0").select("p_type", "p_brand", "p_partkey")
+    mapping = part.select("p_type", "p_brand", "p_partkey")
     sized = part.withColumn("code", F.when(F.col("p_size") > 25, F.col("p_type")).otherwise("none "))
     return joins.lookup(sized.select("p_partkey", "code"), mapping, "code", "p_type", "p_brand", normalise=lambda c: F.upper(F.trim(c)), out="grp", ordinal="p_partkey").select("p_partkey", "grp")
 
@@ -396,7 +397,7 @@ def calibration_bins(spark, sf):
 
 @register("risk_percentile", f"WITH {SCORED} SELECT doc_id, round_even((rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0) / count(*) OVER () * 100, 1) AS percentile FROM scored")
 def risk_percentile(spark, sf):
-    return _scored(spark, sf).select("doc_id", panel.percentile_rank("s").alias("percentile"))
+    return panel.percentile_rank(_scored(spark, sf), "s").select("doc_id", "percentile")
 
 
 @register("bh_fdr", "WITH t AS (SELECT p_partkey, (p_partkey * 7919 % 10007) / 10007.0 * (CASE WHEN p_partkey % 4 = 0 THEN 0.001 ELSE 1 END) AS p FROM part), r AS (SELECT *, row_number() OVER (ORDER BY p, p_partkey) AS r, count(*) OVER () AS m FROM t) SELECT p_partkey, r <= coalesce((SELECT max(r) FROM r WHERE p <= 0.05 * r / m), 0) AS significant FROM r")

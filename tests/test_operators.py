@@ -199,3 +199,25 @@ def test_too_many_classes_or_layers_fail(spark):
     assert len(overlay.class_shares(many.limit(50), "c").columns) == 52
     with pytest.raises(ValueError, match="layer"):
         sinks.merged_layers(many, {"x": ["c"]}, "c")
+
+
+def test_ranks_over_buckets(spark):
+    """Row numbers, running sums, average ranks and quantiles against plain sorting, with ties and missing values."""
+    import random
+
+    import numpy as np
+
+    from hexpanel.operators import ranks
+
+    r = random.Random(3)
+    rows = [(i, r.choice([None, float(r.randrange(40)), r.random() * 40])) for i in range(500)]
+    df = spark.createDataFrame(rows, "k long, v double").repartition(6)
+    ordered = sorted(rows, key=lambda x: (x[1] is not None, x[1] or 0.0, x[0]))
+    assert {x["k"]: x["n"] for x in ranks.numbered(df, F.col("v"), "k", out="n").collect()} == {k: i for i, (k, _) in enumerate(ordered, 1)}
+    filled = [v for _, v in rows if v is not None]
+    assert {x["k"]: x["a"] for x in ranks.average_rank(df, "v", "a").collect()} == {k: None if v is None else sum(w < v for w in filled) + (sum(w == v for w in filled) + 1) / 2 for k, v in rows}
+    assert {x["k"]: x["s"] for x in ranks.running(df.where("v is not null"), F.col("v"), {"s": F.lit(1)}).collect()} == {k: sum(w <= v for w in filled) for k, v in rows if v is not None}
+    assert ranks.quantiles(df, "v", [0, 0.1, 0.33, 0.5, 1]) == pytest.approx(np.percentile(filled, [0, 10, 33, 50, 100]))
+    assert ranks.quantiles(df.limit(0), "v", [0.5]) == [] and ranks.numbered(df.limit(0), F.col("v"), out="n").count() == 0
+    sample = metrics.sample_exact(df, "k", 7)
+    assert sample.count() == 7 and sorted(sample.collect()) == sorted(metrics.sample_exact(df.repartition(2), "k", 7).collect())
