@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -166,60 +167,155 @@ def smallest_rectangle(h: np.ndarray) -> tuple[float, float, float]:
     return best[1:]
 
 
-def clip(ring: np.ndarray, window: np.ndarray) -> np.ndarray:
-    """A ring cut by a convex counter-clockwise window, side by side. Bridges between separate pieces have no area."""
-    out = ring[:-1] if len(ring) > 1 and (ring[0] == ring[-1]).all() else ring
-    for a, b in zip(window, np.roll(window, -1, axis=0), strict=True):
-        if not len(out):
-            break
-        side = (b[0] - a[0]) * (out[:, 1] - a[1]) - (b[1] - a[1]) * (out[:, 0] - a[0])
-        new = []
-        for i in range(len(out)):
-            j = (i + 1) % len(out)
-            if side[i] >= 0:
-                new.append(out[i])
-            if (side[i] > 0) != (side[j] > 0) and side[i] != side[j]:
-                new.append(out[i] + (out[j] - out[i]) * (side[i] / (side[i] - side[j])))
-        out = np.array(new).reshape(-1, 2)
-    return out
+def _lengths(lists: pa.Array) -> np.ndarray:
+    return lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def clipped_area(parts, window: np.ndarray) -> float:
-    one = lambda r: abs(shoelace(c)) if len(c := clip(r, window)) > 2 else 0.0
-    return sum(one(e) - sum(map(one, holes)) for e, holes in parts)
+def flat_rings(batch: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All rings of a batch of geometries in flat arrays: x and y of all points, points a ring, row and whether it is a
+    hole of each ring."""
+    parts = batch.flatten()
+    row = np.repeat(np.arange(len(batch)), _lengths(batch))
+    outer, inner = pc.struct_field(parts, "exterior"), pc.struct_field(parts, "holes")
+    holes = inner.flatten()
+    xy = [[pc.struct_field(r.flatten(), c).to_numpy(zero_copy_only=False) for r in (outer, holes)] for c in "xy"]
+    size = np.concatenate([_lengths(outer), _lengths(holes)])
+    return np.concatenate(xy[0]), np.concatenate(xy[1]), size, np.concatenate([row, np.repeat(row, _lengths(inner))]), np.arange(len(size)) >= len(outer)
 
 
-SHAPE = "struct<hull_area:double,hull_length:double,major:double,minor:double,angle:double>"
+SHAPE = "struct<" + ",".join(f"{c}:double" for c in "area length vertices cx cy x0 y0 x1 y1 radius xx yy xy hull_area hull_length major minor angle".split()) + ">"
 
 
-def _hull_measures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Area and length of the convex hull, sides and direction of the smallest rectangle around it."""
-    names = ["hull_area", "hull_length", "major", "minor", "angle"]
+def _measures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        rows = []
-        for value in batch.to_pylist():
-            parts = rings_of(value)
-            if not parts:
-                rows.append(None)
-                continue
-            h = hull(np.concatenate([e for e, _ in parts]))
-            step = np.roll(h, -1, axis=0) - h
-            rows.append(dict(zip(names, (abs(shoelace(h)), float(np.hypot(*step.T).sum()), *smallest_rectangle(h)), strict=True)))
-        yield pa.array(rows, pa.struct([(n, pa.float64()) for n in names]))
-
-
-def _overlap_area(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    """Area of a geometry inside a convex counter-clockwise ring (array of points)."""
-    for geometry, ring in batches:
-        yield pa.array([clipped_area(rings_of(g), np.array([(p["x"], p["y"]) for p in r], float)) if g and r else None for g, r in zip(geometry.to_pylist(), ring.to_pylist(), strict=True)], pa.float64())
-
-
-def hull_measures(g: Column) -> Column:
-    return F.arrow_udf(_hull_measures, SHAPE)(g)
+        n = len(batch)
+        x, y, size, row, hole = flat_rings(batch)
+        ring = np.repeat(np.arange(len(size)), size)
+        a = np.flatnonzero(ring[:-1] == ring[1:]) if len(ring) else np.empty(0, np.int64)
+        on = ring[a]
+        ax, ay, bx, by = x[a], y[a], x[a + 1], y[a + 1]
+        cross, step = ax * by - bx * ay, np.hypot(bx - ax, by - ay)
+        of_ring = lambda v: np.bincount(on, v, len(size))
+        of_row = lambda v, where=slice(None): np.bincount(row[where], v[where], n)
+        signed = of_ring(cross) / 2
+        turn = np.sign(signed) * np.where(hole, -1, 1)
+        area = of_row(signed * turn)
+        out = {"area": area, "length": of_row(of_ring(step)), "vertices": of_row(size.astype(float), ~hole)}
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out["cx"], out["cy"] = (of_row(of_ring((p + q) * cross) / 6 * turn) / area for p, q in ((ax, bx), (ay, by)))
+            outer = ~hole[ring]
+            at = row[ring[outer]]
+            for c, v in (("x", x[outer]), ("y", y[outer])):
+                out[f"{c}0"], out[f"{c}1"] = np.full(n, np.inf), np.full(n, -np.inf)
+                np.minimum.at(out[f"{c}0"], at, v)
+                np.maximum.at(out[f"{c}1"], at, v)
+            out["radius"] = np.full(n, -np.inf)
+            np.maximum.at(out["radius"], at, np.hypot(x[outer] - out["cx"][at], y[outer] - out["cy"][at]))
+            # covariance of a uniform point on the exterior, by integrals over its sides
+            side = ~hole[on]
+            to, w = row[on[side]], step[side]
+            ends = {"x": (ax[side], bx[side]), "y": (ay[side], by[side])}
+            total = np.bincount(to, w, n)
+            mean = {c: np.bincount(to, w * (p + q) / 2, n) / total for c, (p, q) in ends.items()}
+            for c, d in ("xx", "yy", "xy"):
+                (p, q), (u, v) = ends[c], ends[d]
+                out[c + d] = np.bincount(to, w * (2 * p * u + p * v + q * u + 2 * q * v) / 6, n) / total - mean[c] * mean[d]
+        hulls = np.full((n, 5), np.nan)
+        points, starts = np.column_stack([x[outer], y[outer]]), np.searchsorted(at, np.arange(n + 1))
+        for i in np.flatnonzero(np.diff(starts)).tolist():
+            h = hull(points[starts[i] : starts[i + 1]])
+            around = np.roll(h, -1, axis=0) - h
+            hulls[i] = abs(shoelace(h)), float(np.hypot(*around.T).sum()), *smallest_rectangle(h)
+        out |= dict(zip(("hull_area", "hull_length", "major", "minor", "angle"), hulls.T, strict=True))
+        yield pa.StructArray.from_arrays([pa.array(v, pa.float64(), mask=~np.isfinite(v)) for v in out.values()], list(out)).cast(pa.struct([(f, pa.float64()) for f in out]))
+
+
+def measures(g: Column) -> Column:
+    """Everything the shape features are made of, in one pass over the flattened rings of a batch; only hulls are made one
+    by one. Fields are null where a geometry has no points or no area."""
+    return F.arrow_udf(_measures, SHAPE)(g)
+
+
+PART = "array<struct<q:bigint,r:bigint,area:double>>"
+
+
+def _outside(ring: np.ndarray, centers: np.ndarray, reach: float, chunk: int = 1 << 20) -> np.ndarray:
+    """Which centres are farther than `reach` from every side of a closed ring."""
+    p, d = ring[:-1], np.diff(ring, axis=0)
+    norm = np.maximum((d * d).sum(1), 1e-300)
+    out = np.empty(len(centers), bool)
+    rows = max(1, chunk // max(1, len(p)))
+    for i in range(0, len(centers), rows):
+        to = centers[i : i + rows, None, :] - p
+        t = np.clip((to * d).sum(2) / norm, 0, 1)
+        gap = to - t[:, :, None] * d
+        out[i : i + rows] = ((gap * gap).sum(2) > reach * reach).all(1)
+    return out
 
 
-def overlap_area(g: Column, ring: Column) -> Column:
-    return F.arrow_udf(_overlap_area, "double")(g, ring)
+def clipped_areas(ring: np.ndarray, centers: np.ndarray, side: float) -> np.ndarray:
+    """Area of a closed ring in each pointy-top hexagon, by cutting copies of it at one side after another for all
+    hexagons at once. Bridges between separate pieces have no area."""
+    n, m = len(centers), len(ring) - 1
+    cell = np.repeat(np.arange(n), m)
+    x, y = (np.tile(ring[:-1, k], n) - centers[cell, k] for k in (0, 1))
+    for k in range(6):
+        if not len(cell):
+            break
+        c, s = math.cos(math.radians(60 * k)), math.sin(math.radians(60 * k))
+        inside = side * math.sqrt(3) / 2 - (x * c + y * s)
+        last = np.append(cell[1:] != cell[:-1], True)
+        after = np.arange(1, len(cell) + 1)
+        after[last] = np.flatnonzero(np.append(True, last[:-1]))
+        other = inside[after]
+        cut = ((inside > 0) != (other > 0)) & (inside != other)
+        t = np.where(cut, inside / np.where(cut, inside - other, 1), 0)
+        keep = np.column_stack([inside >= 0, cut]).ravel()
+        x, y = (np.column_stack([v, v + (v[after] - v) * t]).ravel()[keep] for v in (x, y))
+        cell = np.repeat(cell, 2)[keep]
+    if not len(cell):
+        return np.zeros(n)
+    last = np.append(cell[1:] != cell[:-1], True)
+    after = np.arange(1, len(cell) + 1)
+    after[last] = np.flatnonzero(np.append(True, last[:-1]))
+    return np.abs(np.bincount(cell, x * y[after] - x[after] * y, n)) / 2
+
+
+def hexagon_parts(parts, side: float, low: int, high: int) -> list[dict]:
+    """q, r, area of the cells in rows low to high of an axial grid that a geometry has area in. Cells that no side comes
+    near are whole or empty by their centre; the others are cut."""
+    outer = np.concatenate([e for e, _ in parts])
+    (x0, y0), (x1, y1) = outer.min(0), outer.max(0)
+    across, cells = math.sqrt(3) * side, []
+    for r in range(max(low, math.ceil((y0 - side) / (1.5 * side))), min(high, math.floor((y1 + side) / (1.5 * side))) + 1):
+        q = np.arange(math.ceil((x0 - side) / across - r / 2), math.floor((x1 + side) / across - r / 2) + 1)
+        cells.append(np.column_stack([q, np.full(len(q), r)]))
+    if not cells or not sum(map(len, cells)):
+        return []
+    qr = np.concatenate(cells)
+    centers = np.column_stack([across * (qr[:, 0] + qr[:, 1] / 2), 1.5 * side * qr[:, 1]])
+    rings = [(ring, sign) for e, hs in parts for ring, sign in ((e, 1.0), *((h, -1.0) for h in hs)) if len(ring) > 3]
+    far = np.logical_and.reduce([_outside(ring, centers, side) for ring, _ in rings]) if rings else np.ones(len(qr), bool)
+    area = np.zeros(len(qr))
+    area[far] = np.where(_inside(centers[far], parts), 1.5 * math.sqrt(3) * side**2, 0.0) if rings else 0.0
+    near = np.flatnonzero(~far)
+    for ring, sign in rings:
+        step = max(1, (1 << 20) // len(ring))
+        for i in range(0, len(near), step):
+            area[near[i : i + step]] += sign * clipped_areas(ring, centers[near[i : i + step]], side)
+    return [{"q": int(q), "r": int(r), "area": float(a)} for (q, r), a in zip(qr.tolist(), area.tolist(), strict=True) if a > 1e-9]
+
+
+def overlay_parts(g: Column, low: Column, high: Column, side: float) -> Column:
+    """hexagon_parts as a column of PART."""
+
+    @F.arrow_udf(PART)
+    def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        kind = pa.list_(pa.struct([("q", pa.int64()), ("r", pa.int64()), ("area", pa.float64())]))
+        for shapes, first, last in batches:
+            yield pa.array([hexagon_parts(rings_of(v), side, a, b) if v else [] for v, a, b in zip(shapes.to_pylist(), first.to_pylist(), last.to_pylist(), strict=True)], kind)
+
+    return run(g, low, high)
 
 
 # ---- predicates between polygons

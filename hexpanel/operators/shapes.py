@@ -1,4 +1,5 @@
-"""The 22 shape features of a parcel, by named makers. All but the hull's are column expressions."""
+"""The 22 shape features of a parcel, by named makers: column expressions over measures that one pass over its rings
+gives."""
 
 from __future__ import annotations
 
@@ -16,55 +17,40 @@ log = logging.getLogger(__name__)
 _none_if_zero = lambda c: F.nullif(c, F.lit(0.0))
 
 
-def size_scale(g: Column) -> dict[str, Column]:
-    a, p = G.area(g), G.perimeter(g)
+def size_scale(m: Column) -> dict[str, Column]:
+    a, p = m["area"], m["length"]
     return {"area_ha": half_even(a / 1e4, 4), "perimeter_m": half_even(p, 1), "log_area": F.ln(a), "log_perimeter": F.ln(p), "mean_width": F.try_divide(2 * a, p)}
 
 
-def elongation(g: Column) -> dict[str, Column]:
-    h, b = G.hull_measures(g), G.bounds(g)
-    return {"elongation_mrr": F.try_divide(h["major"], h["minor"]), "orientation_deg": h["angle"], "aspect_ratio_bbox": F.try_divide(b["x1"] - b["x0"], b["y1"] - b["y0"])}
+def elongation(m: Column) -> dict[str, Column]:
+    return {"elongation_mrr": F.try_divide(m["major"], m["minor"]), "orientation_deg": m["angle"], "aspect_ratio_bbox": F.try_divide(m["x1"] - m["x0"], m["y1"] - m["y0"])}
 
 
-def compactness(g: Column) -> dict[str, Column]:
-    a, p, h = G.area(g), G.perimeter(g), G.hull_measures(g)
-    return {"ipq": F.try_divide(4 * math.pi * a, p * p), "rectangularity": F.try_divide(a, h["major"] * h["minor"]), "solidity": F.try_divide(a, h["hull_area"])}
+def compactness(m: Column) -> dict[str, Column]:
+    a, p = m["area"], m["length"]
+    return {"ipq": F.try_divide(4 * math.pi * a, p * p), "rectangularity": F.try_divide(a, m["major"] * m["minor"]), "solidity": F.try_divide(a, m["hull_area"])}
 
 
-def complexity(g: Column) -> dict[str, Column]:
-    a, p = G.area(g), G.perimeter(g)
-    return {"complexity_index": F.try_divide(p, _none_if_zero(2 * F.sqrt(math.pi * a))), "vertex_density": F.try_divide(G.vertices(g).cast("double"), p)}
+def complexity(m: Column) -> dict[str, Column]:
+    a, p = m["area"], m["length"]
+    return {"complexity_index": F.try_divide(p, _none_if_zero(2 * F.sqrt(math.pi * a))), "vertex_density": F.try_divide(m["vertices"], p)}
 
 
-def inertia(g: Column) -> dict[str, Column]:
-    """Eigenvalues of the covariance of a uniform point on the exterior, by integrals over its sides: what a random sample
-    of boundary points tends to, without the sampling."""
-    sides = F.flatten(F.transform(g, lambda p: G._edges(p["exterior"], lambda a, b: F.struct(a.alias("a"), b.alias("b"), F.hypot(b["x"] - a["x"], b["y"] - a["y"]).alias("l")))))
-    total = G._sum(F.transform(sides, lambda s: s["l"]))
-
-    def first(c: str) -> Column:
-        return F.try_divide(G._sum(F.transform(sides, lambda s: s["l"] * (s["a"][c] + s["b"][c]) / 2)), total)
-
-    mean = {c: first(c) for c in "xy"}
-
-    def second(c: str, d: str) -> Column:
-        product = lambda s: s["l"] * (2 * s["a"][c] * s["a"][d] + s["a"][c] * s["b"][d] + s["b"][c] * s["a"][d] + 2 * s["b"][c] * s["b"][d]) / 6
-        return F.try_divide(G._sum(F.transform(sides, product)), total) - mean[c] * mean[d]
-
-    xx, yy, xy = second("x", "x"), second("y", "y"), second("x", "y")
-    mid, half = (xx + yy) / 2, F.sqrt(F.pow((xx - yy) / 2, 2) + xy * xy)
+def inertia(m: Column) -> dict[str, Column]:
+    """Eigenvalues of the covariance of a uniform point on the exterior: what a random sample of boundary points tends to,
+    without the sampling."""
+    mid, half = (m["xx"] + m["yy"]) / 2, F.sqrt(F.pow((m["xx"] - m["yy"]) / 2, 2) + m["xy"] * m["xy"])
     return {"inertia_ratio": F.try_divide(mid + half, mid - half), "inertia_major": mid + half, "inertia_minor": mid - half}
 
 
-def convexity(g: Column) -> dict[str, Column]:
-    a, p, h = G.area(g), G.perimeter(g), G.hull_measures(g)
-    return {"convexity_deficit_len": h["hull_length"] - p, "convexity_deficit_area": h["hull_area"] - a, "convexity_deficit_ratio": F.try_divide(h["hull_area"] - a, h["hull_area"])}
+def convexity(m: Column) -> dict[str, Column]:
+    a, h = m["area"], m["hull_area"]
+    return {"convexity_deficit_len": m["hull_length"] - m["length"], "convexity_deficit_area": h - a, "convexity_deficit_ratio": F.try_divide(h - a, h)}
 
 
-def envelope(g: Column) -> dict[str, Column]:
+def envelope(m: Column) -> dict[str, Column]:
     """Radius from the centroid to the farthest vertex, and the circle of it."""
-    a, c = G.area(g), G.centroid(g)
-    r = F.array_max(F.transform(G.points(g), lambda p: F.hypot(p["x"] - c["x"], p["y"] - c["y"])))
+    a, r = m["area"], m["radius"]
     return {"min_circle_radius": r, "area_to_circle_ratio": F.try_divide(a, math.pi * r * r), "circle_area_excess": math.pi * r * r - a}
 
 
@@ -79,7 +65,7 @@ def features(df: DataFrame, *, geometry: str = "geometry", keys: Sequence[str] =
     """Keys, then the makers' features by name; rows without a geometry are left out. Unknown makers are skipped with a
     warning, and so is a maker whose expressions can't be built."""
     found: dict[str, Column] = {}
-    g = F.col(geometry)
+    g, m = F.col(geometry), F.col("_measures")
     for name in makers or MAKERS:
         if name not in MAKERS:
             log.warning("unknown feature maker %s", name)
@@ -87,8 +73,8 @@ def features(df: DataFrame, *, geometry: str = "geometry", keys: Sequence[str] =
         if name in METRIC:
             G.metric_srid(srid)
         try:
-            found |= MAKERS[name](g)
+            found |= MAKERS[name](m)
         except Exception:
             log.exception("feature maker %s failed", name)
-    out = df.where(g.isNotNull() & (F.size(g) > 0)).select(*keys, *(found[c].alias(c) for c in sorted(found)))
+    out = df.where(g.isNotNull() & (F.size(g) > 0)).select(*keys, G.measures(g).alias("_measures")).select(*keys, *(found[c].alias(c) for c in sorted(found)))
     return out if decimals is None else round_floats(out, decimals, keys)

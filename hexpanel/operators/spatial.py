@@ -16,6 +16,7 @@ from hexpanel.functions import geometry as G
 from hexpanel.operators.neighbors import cell_id
 
 ROOT3 = math.sqrt(3)
+BAND = 64  # rows of cells
 
 
 class HexGrid:
@@ -65,13 +66,17 @@ class HexGrid:
         return cells.where(G.contains_point(F.col(geometry), x, y)).select("hex_id").distinct()
 
     def overlay(self, df: DataFrame, geometry: str = "geometry", cells: DataFrame | None = None) -> DataFrame:
-        """df's rows by cell: hex_id, area (of the row's polygon in it), hex_area; parts without area are left out.
-        cells: those to keep (hex_id)."""
-        out = df.withColumn("hex_id", F.explode(self.candidates(G.bounds(F.col(geometry)), 1.0)))
+        """df's rows by cell: hex_id, area (of the row's polygon in it), hex_area; parts without area are left out. A
+        polygon goes once to each band of BAND rows of cells, so a large one is spread over tasks, and its cells in a band
+        are cut together. cells: those to keep (hex_id)."""
+        box, tall = G.bounds(F.col(geometry)), 1.5 * self.side
+        low, high = F.floor((box["y0"] - self.side) / tall / BAND), F.floor((box["y1"] + self.side) / tall / BAND)
+        banded = df.withColumn("_band", F.explode(F.sequence(low, high)))
+        parts = G.overlay_parts(F.col(geometry), F.col("_band") * BAND, F.col("_band") * BAND + BAND - 1, self.side)
+        out = banded.withColumn("_part", F.explode(parts)).withColumns({"hex_id": cell_id(F.col("_part.q"), F.col("_part.r")), "area": F.col("_part.area")}).drop("_band", "_part")
         if cells is not None:
             out = out.join(cells.select("hex_id"), "hex_id", "left_semi")
-        out = out.withColumn("area", G.overlap_area(F.col(geometry), self.boundary(F.col("hex_id"))))
-        return out.where(F.col("area") > 1e-9).withColumn("hex_area", F.lit(self.cell_area))
+        return out.withColumn("hex_area", F.lit(self.cell_area))
 
 
 def spatial_join(left: DataFrame, right: DataFrame, kind: str = "intersects", *, how: str = "inner", cell: float = 1000.0, left_geometry: str = "geometry", right_geometry: str = "geometry", left_key: Sequence[str] = ("id",)) -> DataFrame:

@@ -221,3 +221,30 @@ def test_ranks_over_buckets(spark):
     assert ranks.quantiles(df.limit(0), "v", [0.5]) == [] and ranks.numbered(df.limit(0), F.col("v"), out="n").count() == 0
     sample = metrics.sample_exact(df, "k", 7)
     assert sample.count() == 7 and sorted(sample.collect()) == sorted(metrics.sample_exact(df.repartition(2), "k", 7).collect())
+
+
+def test_overlay_of_concave_polygons_with_holes_cell_by_cell(spark):
+    """Areas of each cell against points on a fine grid, for a polygon with a notch and a hole, and their sum exactly."""
+    import numpy as np
+
+    from hexpanel.functions.geometry import _inside
+    from hexpanel.operators.spatial import HexGrid
+
+    grid = HexGrid(10.0)
+    outer = [(0, 0), (95, 5), (90, 80), (55, 82), (50, 20), (40, 78), (3, 70)]
+    hole = [(10, 20), (30, 22), (28, 45), (12, 40)]
+    ring = lambda c: [{"x": float(x), "y": float(y)} for x, y in [*c, c[0]]]
+    df = spark.createDataFrame([(1, [{"exterior": ring(outer), "holes": [ring(hole)]}])], f"id long, geometry {geometry.GEOMETRY}")
+    got = {r["hex_id"]: r["area"] for r in grid.overlay(df).collect()}
+    closed = lambda c: np.array([*c, c[0]], float)
+    parts = [(closed(outer), [closed(hole)])]
+    area = abs(geometry.shoelace(closed(outer)[:-1])) - abs(geometry.shoelace(closed(hole)[:-1]))
+    assert sum(got.values()) == pytest.approx(area, rel=1e-9) and max(got.values()) <= grid.cell_area + 1e-6
+    step = 0.25
+    xy = np.stack(np.meshgrid(np.arange(-20, 120, step), np.arange(-20, 100, step)), -1).reshape(-1, 2) + step / 2
+    xy = xy[_inside(xy, parts)]
+    points = spark.createDataFrame(xy.tolist(), "x double, y double").groupBy(grid.cell_of(F.col("x"), F.col("y")).alias("c")).count().collect()
+    sampled = {r["c"]: r["count"] * step * step for r in points}
+    assert set(sampled) - set(got) == set() and all(a == pytest.approx(sampled.get(c, 0.0), abs=4.0) for c, a in got.items())
+    few = spark.createDataFrame([(c,) for c in list(got)[:3]], "hex_id string")
+    assert grid.overlay(df, cells=few).count() == 3
