@@ -67,7 +67,17 @@ def carry_forward(df: DataFrame, column: str, *, by: str, order: str | list[str]
     return df.withColumn(column, F.last(column, ignorenulls=True).over(w))
 
 
-def percentile_rank(df: DataFrame, column: str, out: str = "percentile") -> DataFrame:
-    """df with the share of filled values up to a value, ties averaged, in per cent with one decimal."""
+def percentile_rank(column: str, by: list[str] | None = None) -> Column:
+    """Share of the rows of a group up to a value, ties averaged, in per cent with one decimal. A group is one task's: for
+    whole tables, with_percentile_rank."""
+    part = Window.partitionBy(*(by or [F.lit(1)]))
+    rank = F.rank().over(part.orderBy(column))
+    ties = F.count("*").over(Window.partitionBy(*(by or []), column))
+    return half_even((rank + (ties - 1) / 2) / F.count(column).over(part) * 100, 1)
+
+
+def with_percentile_rank(df: DataFrame, column: str, out: str = "percentile") -> DataFrame:
+    """df with the share of filled values up to a value, ties averaged, in per cent with one decimal; no task orders the
+    whole table."""
     n = df.agg(F.count(column)).first()[0]
     return ranks.average_rank(df, column, out).withColumn(out, half_even(F.col(out) / F.lit(n) * 100, 1))

@@ -397,7 +397,7 @@ def calibration_bins(spark, sf):
 
 @register("risk_percentile", f"WITH {SCORED} SELECT doc_id, round_even((rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0) / count(*) OVER () * 100, 1) AS percentile FROM scored")
 def risk_percentile(spark, sf):
-    return panel.percentile_rank(_scored(spark, sf), "s").select("doc_id", "percentile")
+    return panel.with_percentile_rank(_scored(spark, sf), "s").select("doc_id", "percentile")
 
 
 @register("bh_fdr", "WITH t AS (SELECT p_partkey, (p_partkey * 7919 % 10007) / 10007.0 * (CASE WHEN p_partkey % 4 = 0 THEN 0.001 ELSE 1 END) AS p FROM part), r AS (SELECT *, row_number() OVER (ORDER BY p, p_partkey) AS r, count(*) OVER () AS m FROM t) SELECT p_partkey, r <= coalesce((SELECT max(r) FROM r WHERE p <= 0.05 * r / m), 0) AS significant FROM r")
