@@ -236,6 +236,7 @@ def measures(g: Column) -> Column:
     return F.arrow_udf(_measures, SHAPE)(g)
 
 
+FEW_POINTS = 24  # up to which cutting all cells is less work than finding those that need it
 PART = "array<struct<q:bigint,r:bigint,area:double>>"
 
 
@@ -295,9 +296,12 @@ def hexagon_parts(parts, side: float, low: int, high: int) -> list[dict]:
     qr = np.concatenate(cells)
     centers = np.column_stack([across * (qr[:, 0] + qr[:, 1] / 2), 1.5 * side * qr[:, 1]])
     rings = [(ring, sign) for e, hs in parts for ring, sign in ((e, 1.0), *((h, -1.0) for h in hs)) if len(ring) > 3]
-    far = np.logical_and.reduce([_outside(ring, centers, side) for ring, _ in rings]) if rings else np.ones(len(qr), bool)
-    area = np.zeros(len(qr))
-    area[far] = np.where(_inside(centers[far], parts), 1.5 * math.sqrt(3) * side**2, 0.0) if rings else 0.0
+    if not rings:
+        return []
+    area, far = np.zeros(len(qr)), np.zeros(len(qr), bool)
+    if sum(len(ring) for ring, _ in rings) > FEW_POINTS:
+        far = np.logical_and.reduce([_outside(ring, centers, side) for ring, _ in rings])
+        area[far] = np.where(_inside(centers[far], parts), 1.5 * math.sqrt(3) * side**2, 0.0)
     near = np.flatnonzero(~far)
     for ring, sign in rings:
         step = max(1, (1 << 20) // len(ring))

@@ -248,3 +248,18 @@ def test_overlay_of_concave_polygons_with_holes_cell_by_cell(spark):
     assert set(sampled) - set(got) == set() and all(a == pytest.approx(sampled.get(c, 0.0), abs=4.0) for c, a in got.items())
     few = spark.createDataFrame([(c,) for c in list(got)[:3]], "hex_id string")
     assert grid.overlay(df, cells=few).count() == 3
+
+
+def test_overlay_cells_far_from_all_sides(monkeypatch):
+    """Finding whole and empty cells first gives what cutting all of them gives."""
+    import numpy as np
+
+    turn = np.linspace(0, 2 * np.pi, 61)
+    circle = np.column_stack([200 * np.cos(turn), 150 * np.sin(turn)])
+    hole = np.array([(-60, -50), (70, -40), (50, 60), (-60, -50)], float)
+    found = []
+    for few in (0, 1000):
+        monkeypatch.setattr(geometry, "FEW_POINTS", few)
+        found.append({(x["q"], x["r"]): x["area"] for x in geometry.hexagon_parts([(circle, [hole])], 12.0, -64, 63)})
+    assert found[0].keys() == found[1].keys() and all(found[0][k] == pytest.approx(found[1][k], abs=1e-6) for k in found[0])
+    assert sum(found[0].values()) == pytest.approx(abs(geometry.shoelace(circle[:-1])) - abs(geometry.shoelace(hole[:-1])))
