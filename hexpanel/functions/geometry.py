@@ -509,13 +509,12 @@ def unproject(x, y, srid: int):
     xi, eta = (np.asarray(y) - fn) / (k * _RADIUS), (np.asarray(x) - fe) / (k * _RADIUS)
     a = xi - sum(b * np.sin(2 * j * xi) * np.cosh(2 * j * eta) for j, b in enumerate(_BACK, 1))
     e = eta - sum(b * np.cos(2 * j * xi) * np.sinh(2 * j * eta) for j, b in enumerate(_BACK, 1))
-    goal = np.sin(a) / np.hypot(np.sinh(e), np.cos(a))
+    goal = np.sin(a) / np.hypot(np.sinh(e), np.cos(a))  # tangent of the conformal latitude
     phi = np.arctan(goal)
     for _ in range(8):  # conformal to geodetic latitude
         s = np.sinh(_ECC * np.arctanh(_ECC * np.sin(phi)))
-        goal_t = np.tan(np.arcsin(goal))
         now = np.tan(phi) * np.sqrt(1 + s * s) - s * np.sqrt(1 + np.tan(phi) ** 2)
-        phi = phi + (goal_t - now) / np.sqrt(1 + now**2) * (1 - _ECC**2 * np.sin(phi) ** 2) * np.cos(phi) / (1 - _ECC**2)
+        phi = phi + (goal - now) / np.sqrt(1 + now**2) * (1 - _ECC**2 * np.sin(phi) ** 2) * np.cos(phi) / (1 - _ECC**2)
     return l0 + np.degrees(np.arctan2(np.sinh(e), np.cos(a))), np.degrees(phi)
 
 

@@ -88,3 +88,23 @@ def prune(df: DataFrame, *, protect: Sequence[str] = (), keys: Sequence[str] = (
             out[worse] = f"{value:.6f} with {a if worse == b else b}"
         drop(out, "correlated")
     return df.drop(*(c for c, _, _ in gone)), spark.createDataFrame(sorted(gone), REPORT)
+
+
+def profile(df: DataFrame, columns: Sequence[str], shares: Sequence[float] = (0.5, 0.9)) -> DataFrame:
+    """column, rows, filled, missing, mean, low, high and a quantile for each share (p50, p90) of number columns."""
+    spark, out = df.sparkSession, []
+    one = df.agg(F.count("*").alias("_rows"), *(F.struct(F.count(c).alias("filled"), F.avg(c).alias("mean"), F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high")).alias(c) for c in columns)).first()
+    for c in columns:
+        s, n = one[c], one["_rows"]
+        out.append((c, n, s["filled"], (n - s["filled"]) / n if n else None, s["mean"], s["low"], s["high"], *(ranks.quantiles(df, c, list(shares)) or [None] * len(shares))))
+    names = ", ".join(f"p{round(q * 100)} double" for q in shares)
+    return spark.createDataFrame(out, f"column string, rows bigint, filled bigint, missing double, mean double, low double, high double, {names}")
+
+
+def key_report(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """side, the keys as trimmed text, n: keys that repeat on either side of a join, missing ones among them."""
+    out = None
+    for side, df in (("left", left), ("right", right)):
+        rows = df.groupBy(*(F.trim(F.col(k).cast("string")).alias(k) for k in keys)).agg(F.count("*").alias("n")).where("n > 1").select(F.lit(side).alias("side"), *keys, "n")
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -96,3 +96,45 @@ def spatial_join(left: DataFrame, right: DataFrame, kind: str = "intersects", *,
         return found
     rest = left.join(found.select(*left_key).distinct(), list(left_key), "left_anti")
     return found.unionByName(rest, allowMissingColumns=True)
+
+
+def join_chain(left: DataFrame, layers: Sequence[tuple[DataFrame, str]], *, cell: float = 1000.0, geometry: str = "geometry", key: Sequence[str] = ("id",)) -> DataFrame:
+    """left with the columns of one layer after another (table, its geometry column) whose polygons meet its own; a row
+    comes once for every combination, and once with nulls where a layer has none. key: what identifies a row of left."""
+    out, keys = left, list(key)
+    for n, (table, name) in enumerate(layers):
+        found = spatial_join(left.select(*key, geometry), table, "intersects", how="left", cell=cell, left_geometry=geometry, right_geometry=name, left_key=list(key))
+        out = out.join(found.drop(geometry, name), keys, "left")
+    return out
+
+
+def dissolve(df: DataFrame, keys: Sequence[str], geometry: str = "geometry") -> DataFrame:
+    """One row a key with the parts of all its polygons, in order; shared borders stay. A key's parts are one value: meant
+    for fragments of a cell."""
+    parts = F.flatten(F.array_sort(F.collect_list(F.when(F.col(geometry).isNotNull(), F.col(geometry)))))
+    return df.groupBy(*keys).agg(parts.alias(geometry))
+
+
+def reattach(values: DataFrame, cells: DataFrame, key: str = "hex_id", geometry: str = "geometry") -> DataFrame:
+    """values with the geometry of their cells; cells without values keep a row of nulls, values without a cell go."""
+    return values.drop(geometry).join(cells.select(key, geometry), key, "right")
+
+
+def grid_of_year(df: DataFrame, year: int, sides: Sequence[float], *, srid: int | None, geometry: str = "geometry", column: str = "year") -> DataFrame:
+    """hex_id, side, geometry of the cells, for each side, whose centre is in a polygon of a year. Coordinates that are no
+    metres are a ValueError, as is a year without rows; a table without a year is a KeyError."""
+    G.metric_srid(srid)
+    if column not in df.columns:
+        raise KeyError(column)
+    rows = df.where(F.col(column) == year)
+    if rows.isEmpty():
+        raise ValueError(f"no rows of {year}")
+    out = None
+    for side in sides:
+        grid = HexGrid(side)
+        ring = grid.boundary(F.col("hex_id"))
+        closed = F.concat(ring, F.slice(ring, 1, 1))
+        shape = F.array(F.struct(closed.alias("exterior"), F.array().cast(f"array<array<{G.POINT}>>").alias("holes")))
+        cells = grid.polyfill(rows, geometry).select("hex_id", F.lit(float(side)).alias("side"), shape.alias("geometry"))
+        out = cells if out is None else out.unionByName(cells)
+    return out

@@ -92,10 +92,16 @@ def bounding_box(spark, sf):
     return b.agg(F.min("b.x0").alias("x0"), F.min("b.y0").alias("y0"), F.max("b.x1").alias("x1"), F.max("b.y1").alias("y1"))
 
 
-@register("isotonic")
+#: Pool adjacent violators in closed form: the largest, over starts at or before a score, of the least mean up to an end at or after it.
+ISOTONIC = f"""WITH {SCORED}, g AS (SELECT s, sum(y)::DOUBLE AS p, count(*)::DOUBLE AS n, row_number() OVER (ORDER BY s) AS i FROM scored GROUP BY s), c AS (SELECT i, s, p, n, sum(p) OVER (ORDER BY i) AS tp, sum(n) OVER (ORDER BY i) AS seen FROM g)
+, m AS (SELECT a.i AS a, b.i AS b, min((b.tp - a.tp + a.p) / (b.seen - a.seen + a.n)) OVER (PARTITION BY a.i ORDER BY b.i DESC) AS low FROM c a JOIN c b ON b.i >= a.i), f AS (SELECT b AS i, max(low) AS fit FROM m GROUP BY b)
+SELECT doc_id, round(fit, 6) AS p_hat_cal FROM scored JOIN g USING (s) JOIN f USING (i)"""
+
+
+@register("isotonic", ISOTONIC)
 def isotonic(spark, sf):
     df = _scored(spark, sf)
-    return models.apply_calibration(models.calibrate(df, "s", "y"), df, "s").select("doc_id", "p_hat_cal")
+    return models.apply_calibration(models.calibrate(df, "s", "y"), df, "s").select("doc_id", F.round("p_hat_cal", 6).alias("p_hat_cal"))
 
 
 def _training(spark, sf):

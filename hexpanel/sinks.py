@@ -50,7 +50,7 @@ def save_table(df: DataFrame, table: str, mode: str = "replace", casts: dict[str
     return spark.table(table).count()
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
+def write_text(spark: SparkSession, path: str, text: str) -> None:
     """One small file by Spark's own file system, so any store will do."""
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
@@ -63,7 +63,7 @@ def write_geoparquet(df: DataFrame, path: str, geometry: str = "geometry", srid:
     """Parquet with the geometry as WKB and, beside it, <path>_geo.json with what a GeoParquet footer says."""
     df.withColumn(geometry, G.write_wkb()(F.col(geometry))).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     meta = {"version": "1.0.0", "primary_column": geometry, "srid": srid, "columns": {geometry: {"encoding": "WKB", "geometry_types": ["Polygon", "MultiPolygon"], "crs": {"id": {"authority": "EPSG", "code": srid}}}}}
-    _write_text(df.sparkSession, f"{path.rstrip('/')}_geo.json", json.dumps(meta))
+    write_text(df.sparkSession, f"{path.rstrip('/')}_geo.json", json.dumps(meta))
 
 
 def upsert_by_task(new: DataFrame, path: str, key: str = "task") -> None:

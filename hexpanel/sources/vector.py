@@ -127,16 +127,52 @@ def geometry_column(footer: bytes | str | None, columns: list[str]) -> str:
     return next((c for c in ("geometry", "GEOMETRY", "geom") if c in columns), columns[-1])
 
 
+def geo_footer(spark: SparkSession, path: str) -> str | None:
+    """What the footer of a table's first file says under `geo`, read by the JVM's own Parquet reader from any store."""
+    file = spark.read.parquet(path).select("_metadata.file_path").first()
+    if file is None:
+        return None
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file[0]))
+    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(at, spark._jsc.hadoopConfiguration())
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    try:
+        return reader.getFooter().getFileMetaData().getKeyValueMetaData().get("geo")
+    finally:
+        reader.close()
+
+
+def footer_srid(footer: str, column: str) -> int | None:
+    """EPSG code of a geometry column: without a system degrees (4326), with one that names no number None."""
+    told = json.loads(footer)
+    about = told.get("columns", {}).get(column, {})
+    if "srid" in told:
+        return told["srid"]
+    if "crs" not in about:
+        return 4326
+    code = ((about["crs"] or {}).get("id") or {}).get("code")
+    return int(code) if str(code).isdecimal() else None
+
+
 def read_geoparquet(spark: SparkSession, path: str, geometry: str | None = None, srid: int | None = None) -> DataFrame:
-    """A GeoParquet table with its geometry parsed; the srid, from the sidecar that `sinks.write_geoparquet` leaves or the
-    argument, is metadata of the column."""
+    """A GeoParquet table with its geometry parsed; the srid is metadata of the column. What isn't named here comes from
+    the files' footer, else from the sidecar that `sinks.write_geoparquet` leaves."""
     df = spark.read.parquet(path)
-    side = spark.read.option("wholetext", "true").text(f"{path.rstrip('/')}_geo.json").first()[0] if geometry is None and srid is None else None
-    named = geometry or geometry_column(side, df.columns)
-    found = srid or (json.loads(side).get("srid") if side else None)
+    told = None
+    if geometry is None or srid is None:
+        told = geo_footer(spark, path)
+        if told is None and _exists(spark, side := f"{path.rstrip('/')}_geo.json"):
+            told = spark.read.text(side, wholetext=True).first()[0]
+    named = geometry or geometry_column(told, df.columns)
+    found = srid or (footer_srid(told, named) if told else None)
     return df.withColumn(named, G.parse_wkb(F.col(named))).withMetadata(named, {"srid": found} if found else {})
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def srid_of(df: DataFrame, geometry: str = "geometry", fallback: int | None = 2180) -> int | None:
     return df.schema[geometry].metadata.get("srid", fallback)
 

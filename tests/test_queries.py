@@ -10,7 +10,7 @@ import os
 import duckdb
 import pytest
 
-from hexpanel.plans import panel_queries, registry, spatial_queries  # noqa: F401
+from hexpanel.plans import panel_queries, registry, scan_queries, spatial_queries  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
