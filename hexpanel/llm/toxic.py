@@ -78,7 +78,7 @@ class Chain:
 
 
 class _Bags:
-    """The words of the sample as numbers: the driver holds a few small arrays a document. Feature 2 p is piece p, 2 p + 1
+    """The words of the sample as numbers, a few small arrays a document. Feature 2 p is piece p, 2 p + 1
     piece p more than once."""
 
     def __init__(self, texts: list[str]):
@@ -198,10 +198,11 @@ class Scorer:
         return np.concatenate(out) if out else np.empty((0, len(self.chain.weights)))
 
 
-def sample(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic") -> list[tuple[str, int]]:
-    """Training rows: at most TOXIC_ROWS and CLEAN_ROWS labelled documents, those of lowest hash, and of these, in that
-    order, as many as have SAMPLE_BYTES together; one that would pass the bound is left out. A key that labels contradict
-    is toxic; of rows that repeat a key the text of least digest counts. Only sizes come to the driver before the texts."""
+def sample(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic") -> DataFrame | None:
+    """k, y, t of the training rows: at most TOXIC_ROWS and CLEAN_ROWS labelled documents, those of lowest hash, and of
+    these, in that order, as many as have SAMPLE_BYTES together; one that would pass the bound is left out. A key that labels
+    contradict is toxic; of rows that repeat a key the text of least digest counts. Only sizes come to the driver, no text.
+    None where the rows are not of both kinds."""
     some = labels.where(labels[toxic].isNotNull() & labels[key].isNotNull()).groupBy(labels[key].alias("k")).agg(F.max((labels[toxic] > 0).cast("int")).alias("y"))
     order = [F.xxhash64("k"), F.col("k")]
     few = some.where("y = 1").orderBy(*order).limit(TOXIC_ROWS).union(some.where("y = 0").orderBy(*order).limit(CLEAN_ROWS))
@@ -212,21 +213,36 @@ def sample(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "t
     for r in sorted(sized, key=lambda r: (r["h"], r["k"])):
         if r["n"] <= left:
             left -= r["n"]
-            chosen.append((r["k"], r["d"]))
-    if not chosen:
-        return []
+            chosen.append((r["k"], r["d"], r["y"]))
+    if len({y for _, _, y in chosen}) < 2:
+        return None
     kind = df.schema[key].dataType.simpleString()
-    texts = got.join(F.broadcast(df.sparkSession.createDataFrame(chosen, f"k {kind}, d string")), ["k", "d"]).dropDuplicates(["k"]).select("k", "y", "t")
-    return [(r["t"], r["y"]) for r in sorted(texts.toLocalIterator(), key=lambda r: r["k"])]
+    named = df.sparkSession.createDataFrame([c[:2] for c in chosen], f"k {kind}, d string")
+    return got.join(F.broadcast(named), ["k", "d"]).dropDuplicates(["k"]).select("k", "y", "t")
+
+
+def fit(rows: DataFrame) -> Chain:
+    """The chain trained on the rows of `sample`, by one task: they are bounded, and the driver gets the weights alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, toxic = [], []
+        for batch in batches:
+            texts += batch.column("t").to_pylist()
+            toxic += batch.column("y").to_pylist()
+        chain = train(texts, toxic)
+        yield pa.RecordBatch.from_arrays([pa.array([list(chain.vocabulary)]), pa.array([[w.tolist() for w in chain.weights]], pa.list_(pa.list_(pa.float32()))), pa.array([chain.threshold])], ["vocabulary", "weights", "threshold"])
+
+    one = rows.repartition(1).sortWithinPartitions("k").select("y", "t")
+    r = one.mapInArrow(run, "vocabulary array<string>, weights array<array<float>>, threshold double").collect()[0]
+    return Chain({f: i for i, f in enumerate(r["vocabulary"])}, [np.array(w, np.float32) for w in r["weights"]], r["threshold"])
 
 
 def _judged(df: DataFrame, labels: DataFrame, key: str, text: str, threshold: float | None, into: str) -> DataFrame | None:
     """df with a struct column `into` of the categories' probabilities and said, the verdict; None without a sample."""
     rows = sample(df, labels, key, text)
-    if len({y for _, y in rows}) < 2:
+    if rows is None:
         return None
-    chain = train([t for t, _ in rows], [y for _, y in rows])
-    del rows
+    chain = fit(rows)
     least = chain.threshold if threshold is None else threshold
     shared = df.sparkSession.sparkContext.broadcast(chain)
 
