@@ -65,8 +65,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the digest of what they decode to. Null and empty texts have no ids; repeated
     rows are encoded each; an empty table gives no rows."""
-    coded = bpe.encode(docs, ranks_path()).select("doc_id", "source", F.col("encoded.ids").alias("ids"))
-    return bpe.decode(coded, ranks_path()).select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = bpe.round_trip(docs.select("doc_id", "source", "text"), ranks_path())
+    return coded.select("doc_id", "source", F.size("encoded.ids").cast("long").alias("n_tokens"), "encoded.ids", F.sha2("encoded.decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [("toxicity", toxicity), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mixing", mixing), ("encoding", encoding)]

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
+from hexpanel.llm._util import slim
+
 LETTER, NUMBER, OTHER, APOSTROPHE1, APOSTROPHE2, SPACE, WHITE, END = range(8)
 BEGIN, IN_LETTERS, IN_NUMBERS, IN_OTHERS, AFTER_SPACE, AFTER_WHITE, ONE_MORE, TWO_MORE = range(8)
 BLOCK = 256
@@ -362,6 +364,7 @@ def _add(df: DataFrame, into: str, kind: str, arrow: pa.DataType, fill: Callable
     names = rest.columns
     schema = StructType([*rest.schema.fields, StructField(into, _parse_datatype_string(kind))])
 
+    @slim
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
@@ -371,6 +374,13 @@ def _add(df: DataFrame, into: str, kind: str, arrow: pa.DataType, fill: Callable
     return rest.mapInArrow(run, schema)
 
 
+def _encoded(codec: Codec, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, pa.Array]:
+    """Ids of some texts one after another, where each text's begin, and the lists of ids and of ends."""
+    ids, n, ends = codec.encode([t or "" for t in texts.to_pylist()])
+    at = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+    return ids, at, pa.ListArray.from_arrays(pa.array(at), pa.array(ids, pa.int32())), pa.ListArray.from_arrays(pa.array(at), pa.array(ends.astype(np.int32)))
+
+
 def encode(df: DataFrame, ranks_path: str, text: str = "text", into: str = "encoded") -> DataFrame:
     """Adds a struct column `into`: ids array<int> and ends array<int>, the byte offset in the UTF-8 text at which each
     token ends. Null and empty texts have empty arrays. The text column must not be called like `into`; another column
@@ -379,13 +389,27 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text", into: str = "enco
     at_text = [c for c in df.columns if c != into].index(text)
 
     def fill(rows: pa.RecordBatch) -> pa.Array:
-        ids, n, ends = _codec(shared.value).encode([t or "" for t in rows.column(at_text).to_pylist()])
-        at = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
-        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(at, pa.array(ids, pa.int32())), pa.ListArray.from_arrays(at, pa.array(ends.astype(np.int32)))], ["ids", "ends"])
+        return pa.StructArray.from_arrays(_encoded(_codec(shared.value), rows.column(at_text))[2:], ["ids", "ends"])
 
     return _add(df, into, "struct<ids:array<int>,ends:array<int>>", pa.struct([("ids", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))]), fill)
 
 
+def round_trip(df: DataFrame, ranks_path: str, text: str = "text", into: str = "encoded") -> DataFrame:
+    """As `encode`, with a third field, decoded binary: the bytes that the ids decode to. One Python worker does both, where
+    `decode` after `encode` takes two workers a task, each with the vocabulary."""
+    shared = _share(df, ranks_path)
+    at_text = [c for c in df.columns if c != into].index(text)
+
+    def fill(rows: pa.RecordBatch) -> pa.Array:
+        codec = _codec(shared.value)
+        flat, at, ids, ends = _encoded(codec, rows.column(at_text))
+        decoded = [codec.decode(flat[a:b].tolist()) for a, b in zip(at, at[1:], strict=False)]
+        return pa.StructArray.from_arrays([ids, ends, pa.array(decoded, pa.binary())], ["ids", "ends", "decoded"])
+
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("decoded", pa.binary())])
+    return _add(df, into, "struct<ids:array<int>,ends:array<int>,decoded:binary>", kind, fill)
+
+
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """Adds a binary column `into`, the bytes of the tokens; null ids decode to no bytes. Unknown ids fail the job."""
     shared = _share(df, ranks_path)

@@ -16,11 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexpanel.llm._util import cut, tidy
+from hexpanel.llm._util import cut, slim, tidy
 
 FEW = 1 << 17  # edges of which one task holds all: some ten megabytes
 
 
+@slim
 def _solve(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """u, p of all edges a, b: p is the least node of u's component (bytes, numbers and text in Spark's order)."""
     root: dict = {}

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from hexpanel.llm._util import cut, tidy
+from hexpanel.llm._util import cut, slim, tidy
 from hexpanel.llm.components import FEW, components
 
 SIGNATURE, TREES, DEPTH, LEAF, SETS = 64, 8, 4, 384, 1 << 20
@@ -113,12 +113,17 @@ def sketch(df: DataFrame, text: str, size: int) -> DataFrame:
     a, b = _functions(SIGNATURE)
 
     @F.arrow_udf("struct<n:bigint,id:binary,sig:array<int>>")
+    @slim
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            sets = [shingles(t or "", size) for t in batch.to_pylist()]
-            sig = np.concatenate([signature(s, a, b) for s in sets] or [np.empty(0, np.int32)])
-            at = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * SIGNATURE)
-            yield pa.StructArray.from_arrays([pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) if len(s) else None for s in sets], pa.binary()), pa.ListArray.from_arrays(at, pa.array(sig))], ["n", "id", "sig"])
+            n, ids, sig = [], [], [np.empty(0, np.int32)]
+            for t in batch:  # one text and its set at a time
+                s = shingles(t.as_py() or "", size)
+                n.append(len(s))
+                ids.append(set_id(s) if len(s) else None)
+                sig.append(signature(s, a, b))
+            at = pa.array(np.arange(len(n) + 1, dtype=np.int32) * SIGNATURE)
+            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.ListArray.from_arrays(at, pa.array(np.concatenate(sig)))], ["n", "id", "sig"])
 
     return df.withColumn("sk", run(F.col(text)))
 
@@ -223,6 +228,7 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, pe
     named = needed.join(classes.select("id", "rep"), "id")
     whole = docs.select(F.col("k").alias("rep"), "t")  # a repeated key may come with another text
 
+    @slim
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, lead, known = None, None, np.empty(0, np.uint64)
         for batch in it:
@@ -307,6 +313,7 @@ def _components(rows: DataFrame, docs: DataFrame, size: int, percent: int, trees
         level = branched.select("id", F.explode(F.array_distinct(F.when(both, F.array(child(1), child(2))).otherwise(F.array(child(1))))).alias("node"))
         at += 1
 
+    @slim
     def possible(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(t: pa.Table) -> Iterator[pa.RecordBatch]:
             comp = _numbered(t, "comp")
@@ -332,6 +339,7 @@ def _components(rows: DataFrame, docs: DataFrame, size: int, percent: int, trees
         return _placed(classes.select("id", "rep"), comps)
     members = cut(_dealt(_placed(classes, comps).join(clusters, "comp"), "cluster", leaf, "n").select("gkey", "id", "rep", "comp", "sig"), "members")
 
+    @slim
     def across(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(t: pa.Table) -> Iterator[pa.RecordBatch]:
             comp = _numbered(t, "comp")
@@ -342,6 +350,7 @@ def _components(rows: DataFrame, docs: DataFrame, size: int, percent: int, trees
 
         return _groups(it, work)
 
+    @slim
     def on_sets(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def work(t: pa.Table) -> Iterator[pa.RecordBatch]:
             ids, text = t.column("id").to_pylist(), t.column("t")

@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexpanel.llm._util import fresh
+from hexpanel.llm._util import fresh, slim
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Parameters: documents of the training sample by label, features, beginnings, folds,
@@ -187,13 +187,14 @@ class Scorer:
                 n[p] = n.get(p, 0) + k
         return [vocabulary[f] for p, k in n.items() for f in ((p, twice(p)) if k > 1 else (p,)) if f in vocabulary]
 
-    def score(self, texts: list[str]) -> np.ndarray:
+    def score(self, texts: Sequence[str] | pa.Array) -> np.ndarray:
+        """A null text has no words; of an Arrow array few texts at a time are copied."""
         n, out = len(self.chain.vocabulary), []
         for at in range(0, len(texts), 256):
             part = texts[at : at + 256]
             rows = np.zeros((len(part), n), np.float32)
-            for i, t in enumerate(part):
-                rows[i, self.features(t)] = 1
+            for i, t in enumerate(part.to_pylist() if isinstance(part, pa.Array) else part):
+                rows[i, self.features(t or "")] = 1
             out.append(self.chain.probabilities(rows))
         return np.concatenate(out) if out else np.empty((0, len(self.chain.weights)))
 
@@ -224,6 +225,7 @@ def sample(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "t
 def fit(rows: DataFrame) -> Chain:
     """The chain trained on the rows of `sample`, by one task: they are bounded, and the driver gets the weights alone."""
 
+    @slim
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, toxic = [], []
         for batch in batches:
@@ -247,10 +249,11 @@ def _judged(df: DataFrame, labels: DataFrame, key: str, text: str, threshold: fl
     shared = df.sparkSession.sparkContext.broadcast(chain)
 
     @F.arrow_udf("struct<" + ",".join(f"{c}:double" for c in CATEGORIES) + ",said:boolean>")
+    @slim
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            p = scorer.score([t or "" for t in batch.to_pylist()])
+            p = scorer.score(batch)
             yield pa.StructArray.from_arrays([*(pa.array(p[:, i]) for i in range(len(CATEGORIES))), pa.array(p[:, -1] >= least)], [*CATEGORIES, "said"])
 
     return df.withColumn(into, run(df[text].cast("string")))

@@ -12,12 +12,13 @@ from html import unescape
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
 from hexpanel.llm import bpe, components, embeddings, exact, html, minhash, mix, secrets, toxic, urls, warc
-from hexpanel.llm._util import new_path
+from hexpanel.llm._util import new_path, slim
 from hexpanel.llm.queries import ranks_path
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -81,6 +82,41 @@ def test_bpe_replaces_a_clashing_column_and_takes_empty_tables(spark):
     assert bpe.encode(df.limit(0), ranks_path()).count() == 0
 
 
+def test_bpe_round_trip_equals_encode_then_decode(spark):
+    df = docs(spark, ["", None, "some text, some more", "日本語 🙂 \x00", "ab " * 3000]).withColumn("encoded", F.lit(1))
+    two = bpe.decode(bpe.encode(df, ranks_path()).withColumn("ids", F.col("encoded.ids")), ranks_path()).select("doc_id", "encoded.ids", "encoded.ends", "decoded")
+    one = bpe.round_trip(df, ranks_path())
+    assert one.columns == df.columns
+    assert sorted(one.select("doc_id", "encoded.*").collect()) == sorted(two.collect())
+    assert bpe.round_trip(df.limit(0), ranks_path()).count() == 0
+
+
+def test_workers_give_memory_back():
+    def taken():
+        with open("/proc/self/smaps_rollup") as f:
+            return int(re.search(r"\nPss_Anon:\s+(\d+)", f.read()).group(1)) / 1024
+
+    last = []
+
+    def run(it):
+        for x in it:
+            held = [bytearray(2000) for _ in range(100_000)]
+            last.append(bytearray(2000))  # what lives on after the rest keeps the allocator from giving anything back
+            yield x
+            del held
+
+    before = taken()
+    assert list(slim(run)(iter([1, 2]))) == [1, 2]
+    assert taken() - before < 50
+
+
+def test_toxicity_scores_arrow_texts_as_lists():
+    chain = toxic.train(["good day to you"] * 40 + ["vile muck"] * 40, [0] * 40 + [1] * 40)
+    texts = ["good day", "vile muck, vile", "", None] * 200
+    some = toxic.Scorer(chain).score(pa.array(texts))
+    assert some.shape == (800, 3) and np.array_equal(some, toxic.Scorer(chain).score([t or "" for t in texts]))
+
+
 # 2: secrets
 
 

@@ -96,6 +96,11 @@ def test_stages_take_nulls_and_empty_tables(spark, stage):
         assert set(schema.names) <= set(some.columns)
 
 
+def test_encoding_takes_one_worker_a_task(spark):
+    out = corpus_pipeline.encoding(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_exact_dedup_keeps_one_row_of_each_text(spark):
     rows = [(None, "a", "en", "s", 1), (2, "a", "en", "s", 1), (None, "b", "en", "s", 1), (None, "b", "de", "s", 1), (3, "c", "en", "t", 1), (3, "c", "en", "s", 1), (3, "d", "en", "s", 1), (4, "d", "en", "s", 1), (5, None, "en", "s", 0), (5, "", "en", "s", 0), (6, "e", "en", "s", 1), (6, "e", "en", "s", 1), (None, "f", None, None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
