@@ -10,6 +10,7 @@ from hexpanel.llm._util import clear, cut, fresh, mark
 from hexpanel.llm.queries import ranks_path
 
 NEAR_WORDS, NEAR_PERCENT, NEAR_TREES = 5, 80, 10
+BITS = 1 << 26  # of the bitmap of rejected keys that tasks hold; with more keys more rows are shuffled, none is lost
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,22 +25,38 @@ def _sha(docs: DataFrame) -> Column:
     return exact.sha256(F.coalesce(docs["text"].cast("string"), F.lit("")))
 
 
+def _apart(docs: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of docs whose doc_id may be among keys, and all others: by a bitmap of the hashes of keys, about 16 bits a
+    key, so that a join on keys that are too many to broadcast shuffles few texts besides those that it is about."""
+    word, mask = fresh(docs, "word", "mask")
+    bits = min(BITS, 1 << (16 * keys.count() + 1023).bit_length())
+    spot = lambda c: F.pmod(F.xxhash64(c.cast("string")), F.lit(bits))
+    of = lambda at: F.shiftright(at, 6)
+    bit = lambda at: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))
+    at = spot(keys[key])
+    words = F.broadcast(cut(keys.groupBy(of(at).alias(word)).agg(F.bit_or(bit(at)).alias(mask)), "words"))
+    at = spot(docs["doc_id"])
+    among = (of(at) == F.col(word)) & (F.col(mask).bitwiseAND(bit(at)) != 0)
+    return docs.join(words, among, "left_semi"), docs.join(words, among, "left_anti")
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exactly one document of each text: that of largest doc_id, a null one only where all are null; of rows that repeat both doc_id and
     text, the least by all columns. Null texts count as empty; an empty table gives no rows; other columns may have any
-    name. Rejected rows are found by doc_id (null-safely) and digest, so documents are shuffled again only where the
-    rejected are too many to broadcast."""
+    name. Rejected rows are found by doc_id (null-safely) and digest; where they are too many to broadcast, rows whose doc_id
+    may be among theirs are shuffled again, others not."""
     key, sha = fresh(docs, "key", "sha")
     found = exact.find(docs).where("group_size > 1").select(F.col("doc_id").alias(key), "kept", F.col("text_sha256").alias(sha))
     copies = cut(found.groupBy(key, "kept", sha).agg(F.count("*").alias("n")), "copies")
-    among = docs["doc_id"].eqNullSafe(F.col(key)) & (_sha(docs) == F.col(sha))
-    chosen = lambda which: copies.where(which).select(key, sha)
-    tied = chosen("kept and n > 1")
+    gone = copies.where("not kept or n > 1")
+    some, rest = _apart(docs, gone, key)
+    among = some["doc_id"].eqNullSafe(F.col(key)) & (_sha(some) == F.col(sha))
+    rest = rest.union(some.join(gone.select(key, sha), among, "left_anti"))
+    tied = copies.where("kept and n > 1").select(key, sha)
     if tied.isEmpty():
-        return docs.join(chosen("not kept"), among, "left_anti")
-    rest = docs.join(chosen("not kept or n > 1"), among, "left_anti")
+        return rest
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    one = docs.join(tied, among, "left_semi").groupBy("doc_id", _sha(docs)).agg(F.min(row).alias("row"))
+    one = some.join(tied, among, "left_semi").groupBy("doc_id", _sha(some)).agg(F.min(row).alias("row"))
     return rest.unionByName(one.select("row.*"))
 
 
@@ -54,7 +71,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tied = kept.groupBy("group").agg(F.min("text_sha256").alias("least"), F.max("text_sha256").alias("most")).where("least != most").select("group", "least")
     lost = kept.join(tied, "group").where("text_sha256 != least").select("doc_id", "text_sha256")
     gone = found.where("not kept and doc_id is not null").select("doc_id", "text_sha256").union(lost).toDF(key, sha)
-    return docs.join(cut(gone.distinct(), "gone"), (docs["doc_id"] == F.col(key)) & (_sha(docs) == F.col(sha)), "left_anti")
+    gone = cut(gone.distinct(), "gone")
+    some, rest = _apart(docs, gone, key)
+    return rest.union(some.join(gone, (some["doc_id"] == F.col(key)) & (_sha(some) == F.col(sha)), "left_anti"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

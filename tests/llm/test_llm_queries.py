@@ -109,6 +109,30 @@ def test_exact_dedup_keeps_one_row_of_each_text(spark):
     assert corpus_pipeline.exact_dedup(spark, df, SF).columns == df.columns
 
 
+@pytest.mark.parametrize("bits", [1 << 26, 64])
+def test_dedup_shuffles_only_rows_that_may_go(spark, monkeypatch, bits):
+    monkeypatch.setattr(corpus_pipeline, "BITS", bits)
+    rows = [(i if i % 7 else None, f"text {i // 2 if i % 20 < 2 else i}", "en", "s", 1) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("word", F.lit("mine"))
+    keys = df.where("doc_id % 20 = 0 or doc_id is null and text = 'text 7'").select(F.col("doc_id").alias("key"))
+    some, rest = corpus_pipeline._apart(df, keys, "key")
+    ids, left = [x["doc_id"] for x in some.collect()], [x["doc_id"] for x in rest.collect()]
+    gone = {x["key"] for x in keys.collect()}
+    assert None in gone and gone <= set(ids) and not gone & set(left)
+    assert Counter(ids + left) == Counter(r[0] for r in rows) and some.columns == rest.columns == df.columns
+    assert bits == 64 or len(ids) < 1400  # 200 keys, 572 rows without one, and a sixteenth of the others
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where the rejected are too many
+    try:
+        out = corpus_pipeline.exact_dedup(spark, df, SF).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    last = {}
+    for k, t, *_ in rows:
+        last[t] = max(last.get(t, -1), -1 if k is None else k)
+    assert Counter((-1 if x["doc_id"] is None else x["doc_id"], x["text"]) for x in out) == Counter((k, t) for t, k in last.items())
+
+
 def test_near_dedup_loses_no_text_of_a_repeated_key(spark):
     a = "the river rose by two metres on a long and rainy night in the lower town near the old bridge"
     rows = [(3, a), (5, a + " x"), (5, "quite different words that nothing else in this table has at all"), (6, a.upper()), (6, "one more text that has a key of its own twice"), (None, a)]
